@@ -4,7 +4,13 @@ from __future__ import annotations
 
 
 def all_queries():
-    from checks import etl_queries  # noqa: F401
+    from checks import (  # noqa: F401
+        etl_queries,
+        master_queries,
+        operation_queries,
+        quality_queries,
+    )
+
     from checks.registry import QUERIES
 
     return QUERIES

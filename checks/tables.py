@@ -523,4 +523,9 @@ def with_tables(names: tuple[str, ...], body: str) -> str:
     for name in names:
         visit(name)
     parts = ",\n".join(f"{name} AS ({SQL[name][1]})" for name in order)
-    return f"WITH {parts}\n{body}" if parts else body
+    if not parts:
+        return body
+    body = body.strip()
+    # A body with definitions of its own continues the list.
+    rest = ", " + body[4:] if body.upper().startswith("WITH ") else "\n" + body
+    return f"WITH {parts}{rest}"

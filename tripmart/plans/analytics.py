@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tripmart.runtime import broadcast_if_small
 
-_trips = F.count(F.lit(1)).alias("trips")
+def _trips() -> Column:
+    return F.count(F.lit(1)).alias("trips")
 
 
 def _money(column: str, name: str) -> Column:
@@ -29,7 +30,7 @@ def trips_by_borough(fact: DataFrame) -> DataFrame:
     """NULL is a borough of its own."""
     return (
         fact.groupBy("pickup_borough")
-        .agg(_trips, _money("total_amount", "revenue"))
+        .agg(_trips(), _money("total_amount", "revenue"))
         .orderBy(F.desc("trips"), "pickup_borough")
     )
 
@@ -37,7 +38,7 @@ def trips_by_borough(fact: DataFrame) -> DataFrame:
 def trips_by_vendor(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("vendor_name")
-        .agg(_trips, F.round(F.avg("fare_amount"), 2).alias("avg_fare"))
+        .agg(_trips(), F.round(F.avg("fare_amount"), 2).alias("avg_fare"))
         .orderBy(F.desc("trips"), "vendor_name")
     )
 
@@ -47,7 +48,7 @@ def top_routes(fact: DataFrame, n: int = 15) -> DataFrame:
     return (
         fact.groupBy("pickup_zone", "dropoff_zone")
         .agg(
-            _trips,
+            _trips(),
             F.round(F.avg("fare_amount"), 2).alias("avg_fare"),
             F.round(F.avg("tip_amount"), 2).alias("avg_tip"),
         )
@@ -59,7 +60,7 @@ def top_routes(fact: DataFrame, n: int = 15) -> DataFrame:
 def daily_trend(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy("pickup_date")
-        .agg(_trips, _money("total_amount", "revenue"))
+        .agg(_trips(), _money("total_amount", "revenue"))
         .orderBy("pickup_date")
     )
 
@@ -67,7 +68,7 @@ def daily_trend(fact: DataFrame) -> DataFrame:
 def hourly_profile(fact: DataFrame) -> DataFrame:
     return (
         fact.groupBy(F.hour("pickup_datetime").alias("pickup_hour"))
-        .agg(_trips)
+        .agg(_trips())
         .orderBy("pickup_hour")
     )
 

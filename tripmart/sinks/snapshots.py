@@ -1,16 +1,19 @@
 """Versioned snapshots: replace a table that is also an input of the replacement.
 
 Each version is written to its own folder; creating a small marker file makes it
-the current one. File systems refuse to create an existing file, so of two
+the current one. The marker names the folder and the schema, so that readers need
+not open files to infer it. File systems refuse to create an existing file, so of two
 writers that aim for the same version only one can publish.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tripmart.runtime import file_system
 
@@ -32,16 +35,15 @@ def _published(spark: SparkSession, dest: str) -> list[int]:
     )
 
 
-def _marker(spark: SparkSession, dest: str, version: int) -> tuple[str, str]:
-    """Folder and tag that a marker names."""
+def _marker(spark: SparkSession, dest: str, version: int) -> dict:
+    """What a marker says of its version: folder, tag and schema."""
     fs, path = file_system(spark, f"{dest}/{_MARKERS}/{version:08d}")
     stream = fs.open(path)
     try:
         text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    folder, _, tag = text.partition("\n")
-    return folder, tag
+    return json.loads(text)
 
 
 def snapshot_exists(spark: SparkSession, dest: str) -> bool:
@@ -51,7 +53,7 @@ def snapshot_exists(spark: SparkSession, dest: str) -> bool:
 def snapshot_tag(spark: SparkSession, dest: str) -> str | None:
     """The tag given when the current version was published."""
     versions = _published(spark, dest)
-    return _marker(spark, dest, versions[-1])[1] if versions else None
+    return _marker(spark, dest, versions[-1])["tag"] if versions else None
 
 
 def read_snapshot(spark: SparkSession, dest: str, version: int | None = None) -> DataFrame:
@@ -59,8 +61,9 @@ def read_snapshot(spark: SparkSession, dest: str, version: int | None = None) ->
     versions = _published(spark, dest)
     if not versions:
         raise FileNotFoundError(f"no snapshot published below {dest}")
-    folder, _ = _marker(spark, dest, versions[-1] if version is None else version)
-    return spark.read.parquet(f"{dest}/{folder}")
+    marker = _marker(spark, dest, versions[-1] if version is None else version)
+    schema = StructType.fromJson(marker["schema"])
+    return spark.read.schema(schema).parquet(f"{dest}/{marker['folder']}")
 
 
 def publish_snapshot(
@@ -76,6 +79,7 @@ def publish_snapshot(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{dest}/{folder}")
 
+    content = {"folder": folder, "tag": tag, "schema": df.schema.jsonValue()}
     fs, marker = file_system(spark, f"{dest}/{_MARKERS}/{version:08d}")
     try:
         stream = fs.create(marker, False)
@@ -84,7 +88,7 @@ def publish_snapshot(
             raise PublishConflict(f"{dest}: version {version} is already published") from error
         raise
     try:
-        stream.write(bytearray(f"{folder}\n{tag}".encode()))
+        stream.write(bytearray(json.dumps(content).encode()))
     finally:
         stream.close()
     return version
