@@ -231,7 +231,9 @@ def _broken(t: Tables) -> DataFrame:
         & (F.col("valid_from") == F.lit(T1).cast("timestamp_ntz"))
         & ~F.col("is_current")
     )
-    return scd2.scd2_check(zone_replay(t).filter(~lost))
+    dest = fresh_folder(t.spark, "check")
+    publish_snapshot(zone_replay(t).filter(~lost), dest)
+    return scd2.scd2_check(read_snapshot(t.spark, dest))
 
 
 @query("snapshot_swap", ZONE_TABLES, f"SELECT * FROM {ZONE_REVISED}")

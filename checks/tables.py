@@ -37,10 +37,11 @@ class Tables:
         )
         minutes = F.make_dt_interval(mins=(F.col("l_partkey") % 1440).cast("int"))
         ride = F.make_dt_interval(mins=F.col("l_quantity").cast("int"))
+        # Two facts meet: neither side is ever small enough to broadcast at scale.
         return (
             self.given("lineitem")
             .drop("l_returnflag", "l_linestatus", "l_shipdate")
-            .join(places, "l_orderkey")
+            .join(places.hint("merge"), "l_orderkey")
             .join(
                 self.given("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"),
                 "l_suppkey",

@@ -91,16 +91,17 @@ def _token_keys(values: DataFrame, vocabulary: DataFrame, jaccard: float) -> Dat
     listed = F.when(F.size("_tokens") == 0, F.array(F.lit(""))).otherwise(F.col("_tokens"))
     ranked = (
         values.select("normal", tokens(F.col("normal")).alias("_tokens"))
-        .select("normal", F.size(listed).alias("n"), F.explode(listed).alias("token"))
+        .select("normal", F.explode(listed).alias("token"))
         .join(F.broadcast(vocabulary), "token", "left")
-        .groupBy("normal", "n")
+        .groupBy("normal")
         .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("rank", F.lit(0)), "token"))).alias("t"))
+        .select("normal", F.col("t.token").alias("tokens"), F.size("t").alias("n"))
     )
     # The small constant guards against 3 * 0.2 being a little above 0.6.
     width = F.col("n") - F.ceil(F.col("n") * F.lit(jaccard) - F.lit(1e-9)).cast("int") + 1
     return ranked.select(
-        "normal", "n", F.explode(F.slice("t", F.lit(1), width)).alias("key")
-    ).select("normal", "n", F.col("key.token").alias("token"))
+        "normal", "n", "tokens", F.explode(F.slice("tokens", F.lit(1), width)).alias("token")
+    )
 
 
 def _vocabulary(values: DataFrame) -> DataFrame:
@@ -117,15 +118,20 @@ def _vocabulary(values: DataFrame) -> DataFrame:
 def _similar_tokens(left: DataFrame, right: DataFrame, jaccard: float) -> DataFrame:
     vocabulary = _vocabulary(right)
     j = F.lit(jaccard)
-    near = (F.col("l.n") >= F.col("r.n") * j) & (F.col("r.n") >= F.col("l.n") * j)
-    pairs = _spread_join(
+    n, m = F.col("l.n"), F.col("r.n")
+    shared = F.size(F.array_intersect("l.tokens", "r.tokens"))
+    similar = (
+        (F.col("l.normal") != F.col("r.normal"))
+        & (n >= m * j)
+        & (m >= n * j)
+        & (shared * (j + 1) >= (n + m) * j - F.lit(1e-9))
+    )
+    return _spread_join(
         _token_keys(left, vocabulary, jaccard),
         _token_keys(right, vocabulary, jaccard),
         ["token"],
-        near & (F.col("l.normal") != F.col("r.normal")),
+        similar,
     ).select(F.col("l.normal").alias("a"), F.col("r.normal").alias("b"))
-    shared = token_set_similarity(tokens(F.col("a")), tokens(F.col("b")))
-    return pairs.filter(shared >= j - F.lit(1e-9))
 
 
 def _unmatched(total: Column, ratio: float) -> Column:
@@ -193,21 +199,27 @@ def _probes_of(values: DataFrame, ratio: float) -> DataFrame:
     )
 
 
+def _near_in_letters(ratio: float) -> Column:
+    """Different texts whose edit distance leaves room for the ratio.
+
+    The characters that a ratio leaves unmatched bound the edit distance from above.
+    """
+    left, right = F.col("l.normal"), F.col("r.normal")
+    return (left != right) & (
+        F.levenshtein(left, right) <= _unmatched(F.length(left) + F.length(right), ratio)
+    )
+
+
 def _similar_characters(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
-    keys = ["size", "piece", "text"]
-    different = F.col("l.normal") != F.col("r.normal")
+    keys, near = ["size", "piece", "text"], _near_in_letters(ratio)
     chosen = [F.col("l.normal").alias("a"), F.col("r.normal").alias("b")]
     shorter_left = _spread_join(
-        _probes_of(left, ratio), _pieces_of(right, ratio), keys, different
+        _probes_of(left, ratio), _pieces_of(right, ratio), keys, near
     ).select(*chosen)
     longer_left = _spread_join(
-        _pieces_of(left, ratio), _probes_of(right, ratio), keys, different
+        _pieces_of(left, ratio), _probes_of(right, ratio), keys, near
     ).select(*chosen)
-    size = F.length("a") + F.length("b")
-    # Characters left unmatched by the ratio bound the edit distance from above.
-    return shorter_left.unionByName(longer_left).filter(
-        F.levenshtein("a", "b") <= _unmatched(size, ratio)
-    )
+    return shorter_left.unionByName(longer_left)
 
 
 def _levels(threshold: float) -> tuple[float, float]:
@@ -231,29 +243,23 @@ def similar_within(values: DataFrame, threshold: float) -> DataFrame:
     """The same among one set of values, each pair once."""
     jaccard, ratio = _levels(threshold)
     by_token = _similar_tokens(values, values, jaccard).filter("a < b")
-    different = F.col("l.normal") != F.col("r.normal")
-    size = F.length("a") + F.length("b")
-    by_piece = (
-        _spread_join(
-            _probes_of(values, ratio),
-            _pieces_of(values, ratio),
-            ["size", "piece", "text"],
-            different,
-        )
-        .select(
-            F.least("l.normal", "r.normal").alias("a"),
-            F.greatest("l.normal", "r.normal").alias("b"),
-        )
-        .filter(F.levenshtein("a", "b") <= _unmatched(size, ratio))
+    by_piece = _spread_join(
+        _probes_of(values, ratio),
+        _pieces_of(values, ratio),
+        ["size", "piece", "text"],
+        _near_in_letters(ratio),
+    ).select(
+        F.least("l.normal", "r.normal").alias("a"),
+        F.greatest("l.normal", "r.normal").alias("b"),
     )
     return by_token.unionByName(by_piece).distinct()
 
 
 def match_pairs(pairs: DataFrame) -> DataFrame:
     """Score and reason for normal forms ``a`` (the query side) and ``b``."""
-    token_set = token_set_similarity(tokens(F.col("a")), tokens(F.col("b")))
     return (
-        pairs.withColumn("token_set", token_set)
+        pairs.withColumns({"_ta": tokens(F.col("a")), "_tb": tokens(F.col("b"))})
+        .withColumn("token_set", token_set_similarity(F.col("_ta"), F.col("_tb")))
         .withColumn("_s", pair_score()("a", "b", "token_set"))
         .select(
             *pairs.columns,

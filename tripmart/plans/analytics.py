@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.runtime import broadcast_if_small
-
 def _trips() -> Column:
     return F.count(F.lit(1)).alias("trips")
 
@@ -92,7 +90,7 @@ def borough_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
     calendar = dates.select(F.col("date_value").alias("pickup_date"), "year", "month")
     return (
-        daily.join(broadcast_if_small(calendar), "pickup_date")
+        daily.join(calendar, "pickup_date")
         .groupBy("pickup_borough", "year", "month")
         .agg(F.sum("n").alias("trips"), F.sum("amount").alias("revenue"))
         .orderBy(F.desc("trips"), "pickup_borough", "year", "month")
@@ -111,7 +109,7 @@ def vendor_performance(fact: DataFrame, vendor_history: DataFrame) -> DataFrame:
         F.col("natural_key").alias("vendor_id"), "vendor_name"
     )
     return (
-        per_vendor.join(broadcast_if_small(names), "vendor_id")
+        per_vendor.join(names, "vendor_id")
         .groupBy("vendor_name")
         .agg(
             F.sum("n").alias("trips"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
+from tripmart.runtime import file_system
 
 
 def _file_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -19,6 +20,20 @@ def _file_listing(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files without content, which Spark's own listing leaves out."""
+    fs, hadoop_path = file_system(spark, path)
+    rows = []
+    files = fs.listFiles(hadoop_path, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0:
+            rows.append((status.getPath().toString(), 0, status.getModificationTime()))
+    return spark.createDataFrame(rows, "path string, length bigint, at bigint").select(
+        "path", "length", F.timestamp_millis("at").alias("modification_time")
+    )
+
+
 def _below(path: Column, base: str) -> Column:
     """The part of a file path below the folder ``base``."""
     root = base.rstrip("/").split("://")[-1].split(":")[-1]
@@ -33,7 +48,8 @@ def incoming_manifest(spark: SparkSession, base: str) -> DataFrame:
     reason = F.when(
         ~extension.isin(*schemas.LANDING_EXTENSIONS), F.lit("unsupported file type")
     ).when(F.col("length") == 0, F.lit("empty file"))
-    return _file_listing(spark, incoming).select(
+    listing = _file_listing(spark, incoming).unionByName(_empty_files(spark, incoming))
+    return listing.select(
         "path",
         "length",
         "modification_time",
