@@ -11,7 +11,9 @@ Both conditions have exact filters. Token sets: two sets that similar share a
 token among the rarest few of each (prefix filter). Characters: a ratio of ``r``
 leaves at most ``(1 - r) * (len(a) + len(b))`` characters unmatched; cut the
 longer text into one more piece than that, and some piece is matched whole and
-stands in the shorter text at a bounded distance (segment filter). Pairs that
+stands in the shorter text at a bounded distance (segment filter). For short texts
+length and place of the piece are part of the join key; for long ones, where that
+would take very many keys, only its text is, and the rest is a condition. Pairs that
 pass are checked with the exact Jaccard similarity or with an edit distance that
 bounds the ratio, and only what is left is scored.
 
@@ -36,6 +38,7 @@ _HALF_DIGIT = 0.00005
 LOWEST_THRESHOLD = 0.65
 COMMON_TOKENS = 10_000
 BLOCK_ROWS = 5_000
+LONG_TEXT = 32
 
 
 def value_groups(df: DataFrame, id_col: str, value_col: str) -> DataFrame:
@@ -158,17 +161,23 @@ def _pieces_of(values: DataFrame, ratio: float) -> DataFrame:
             "normal",
             "size",
             "piece",
+            "start",
             F.expr("substring(normal, start + 1, end - start)").alias("text"),
         )
     )
 
 
+def _longest(own: Column, ratio: float) -> Column:
+    """Length of the longest text that can reach the ratio with one of length ``own``."""
+    return F.floor(own * F.lit((2.0 - ratio) / ratio) + F.lit(1e-9)).cast("int")
+
+
 def _probes_of(values: DataFrame, ratio: float) -> DataFrame:
-    """Each value as the shorter text: where pieces of any longer one could stand."""
-    longest = F.floor(F.col("own") * F.lit((2.0 - ratio) / ratio) + F.lit(1e-9)).cast("int")
+    """Each value as the shorter text: where pieces of any longer, short one could stand."""
+    longest = F.least(_longest(F.col("own"), ratio), F.lit(LONG_TEXT))
     return (
         values.select("normal", F.length("normal").alias("own"))
-        .filter("own > 0")
+        .filter(F.col("own").between(1, LONG_TEXT))
         .withColumn("size", F.explode(F.sequence(F.col("own"), longest)))
         .withColumn("spare", _unmatched(F.col("own") + F.col("size"), ratio))
         .withColumn("gap", F.col("size") - F.col("own"))
@@ -199,6 +208,57 @@ def _probes_of(values: DataFrame, ratio: float) -> DataFrame:
     )
 
 
+def _windows_of(values: DataFrame, ratio: float) -> DataFrame:
+    """Each value as the shorter text: all its parts as long as pieces of a long text."""
+    sizes = F.sequence(
+        F.greatest(F.col("own"), F.lit(LONG_TEXT + 1)), _longest(F.col("own"), ratio)
+    )
+    widths = F.transform(
+        sizes, lambda size: F.floor(size / (_unmatched(size * 2, ratio) + 1)).cast("int")
+    )
+    return (
+        values.select("normal", F.length("normal").alias("own"))
+        .filter(_longest(F.col("own"), ratio) > LONG_TEXT)
+        .withColumn("widths", F.array_distinct(widths))
+        .withColumn(
+            "width",
+            F.explode(F.array_union("widths", F.transform("widths", lambda w: w + 1))),
+        )
+        .filter("width <= own")
+        .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("own") - F.col("width"))))
+        .select("normal", "own", "at", F.expr("substring(normal, at + 1, width)").alias("text"))
+    )
+
+
+def _in_reach(piece: str, window: str, ratio: float) -> Column:
+    """Whether a piece of the longer text can have been matched at a window of the shorter."""
+    size, own = F.col(f"{piece}.size"), F.col(f"{window}.own")
+    gap, shift = size - own, F.col(f"{piece}.start") - F.col(f"{window}.at")
+    return (gap >= 0) & (F.abs(shift) + F.abs(gap - shift) <= _unmatched(size + own, ratio))
+
+
+def _piece_pairs(longer: DataFrame, shorter: DataFrame, ratio: float, longer_left: bool) -> DataFrame:
+    """Pairs ``a, b`` with a common piece, ``longer`` on the side that is asked for."""
+    near = _near_in_letters(ratio)
+    pieces = _pieces_of(longer, ratio)
+    short = pieces.filter(F.col("size") <= LONG_TEXT).drop("start")
+    long = pieces.filter(F.col("size") > LONG_TEXT).select("normal", "size", "start", "text")
+    probes, windows = _probes_of(shorter, ratio), _windows_of(shorter, ratio)
+    keys = ["size", "piece", "text"]
+    if longer_left:
+        found = [
+            _spread_join(short, probes, keys, near),
+            _spread_join(long, windows, ["text"], _in_reach("l", "r", ratio) & near),
+        ]
+    else:
+        found = [
+            _spread_join(probes, short, keys, near),
+            _spread_join(windows, long, ["text"], _in_reach("r", "l", ratio) & near),
+        ]
+    chosen = [F.col("l.normal").alias("a"), F.col("r.normal").alias("b")]
+    return found[0].select(*chosen).unionByName(found[1].select(*chosen))
+
+
 def _near_in_letters(ratio: float) -> Column:
     """Different texts whose edit distance leaves room for the ratio.
 
@@ -211,15 +271,9 @@ def _near_in_letters(ratio: float) -> Column:
 
 
 def _similar_characters(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
-    keys, near = ["size", "piece", "text"], _near_in_letters(ratio)
-    chosen = [F.col("l.normal").alias("a"), F.col("r.normal").alias("b")]
-    shorter_left = _spread_join(
-        _probes_of(left, ratio), _pieces_of(right, ratio), keys, near
-    ).select(*chosen)
-    longer_left = _spread_join(
-        _pieces_of(left, ratio), _probes_of(right, ratio), keys, near
-    ).select(*chosen)
-    return shorter_left.unionByName(longer_left)
+    return _piece_pairs(right, left, ratio, longer_left=False).unionByName(
+        _piece_pairs(left, right, ratio, longer_left=True)
+    )
 
 
 def _levels(threshold: float) -> tuple[float, float]:
@@ -243,14 +297,8 @@ def similar_within(values: DataFrame, threshold: float) -> DataFrame:
     """The same among one set of values, each pair once."""
     jaccard, ratio = _levels(threshold)
     by_token = _similar_tokens(values, values, jaccard).filter("a < b")
-    by_piece = _spread_join(
-        _probes_of(values, ratio),
-        _pieces_of(values, ratio),
-        ["size", "piece", "text"],
-        _near_in_letters(ratio),
-    ).select(
-        F.least("l.normal", "r.normal").alias("a"),
-        F.greatest("l.normal", "r.normal").alias("b"),
+    by_piece = _piece_pairs(values, values, ratio, longer_left=False).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     )
     return by_token.unionByName(by_piece).distinct()
 
