@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.registry import query, ts
+from checks.etl_queries import clean, fact
+from checks.registry import avg2, query, ts
 from checks.tables import Tables
 from tripmart import schemas
 from tripmart.functions.hashing import record_hash
@@ -288,6 +289,18 @@ query(
     f"""SELECT left(valid_from, 7) || '-01' AS month, count(*) AS versions
         FROM {ZONE_REVISED} WHERE NOT is_current GROUP BY 1""",
 )(lambda t: analytics.scd2_changes_by_month(zone_replay(t)))
+query(
+    "vendor_performance",
+    ("fact", *VENDOR_TABLES),
+    f"""SELECT h.vendor_name, count(*) AS trips, {avg2('fare_amount', 4)} AS avg_fare,
+          CAST(sum(tip_amount) AS DOUBLE) AS total_tips
+        FROM fact f JOIN {VENDOR_MERGED} h ON h.natural_key = f.vendor_id AND h.is_current
+        GROUP BY 1""",
+)(
+    lambda t: analytics.vendor_performance(fact(t), vendor_history(t)).withColumn(
+        "avg_fare", F.round("avg_fare", 4)
+    )
+)
 query(
     "change_history",
     ZONE_TABLES,
@@ -387,19 +400,78 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("fuzzy_ratio")
-def _(t: Tables) -> DataFrame:
-    return matching.match_pairs(value_pairs(t, 0.8)).select("a", "b", F.round("fuzzy", 6).alias("fuzzy"))
-
-
-@query("match_score")
-def _(t: Tables) -> DataFrame:
-    return matching.match_pairs(value_pairs(t, 0.8)).select("a", "b", "match_score")
+# The character ratio in SQL: the longest common part, earliest in a, then in b, and
+# again to its left and right. A candidate has similar tokens or few edits. printf
+# rounds the binary value of a number, as the score does; round would not.
+IN_SEGMENT = """list_max(flatten(list_transform(range(alo, ahi), lambda i: list_transform(
+    list_filter(range(blo, bhi), lambda j: a[i + 1] = b[j + 1]),
+    lambda j: 1000000 * len(list_filter(range(1, least(ahi - i, bhi - j) + 1),
+                lambda k: a[i + 1:i + k] = b[j + 1:j + k])) + 1000 * (999 - i) + 999 - j))))"""
+MAYBE = f"""({TOKEN_SET} >= 0.5999 OR levenshtein(a.normal, b.normal)
+    <= (length(a.normal) + length(b.normal)) * (1 - 0.79995 / 0.95) + 1e-9)"""
+SCORED = f"""
+    ro AS (
+      SELECT a, b, CAST(0 AS BIGINT) AS alo, length(a) AS ahi, CAST(0 AS BIGINT) AS blo,
+             length(b) AS bhi, CAST(0 AS BIGINT) AS m FROM (SELECT DISTINCT a, b FROM cand)
+      UNION ALL
+      SELECT a, b, CASE side WHEN 0 THEN alo ELSE i + k END, CASE side WHEN 0 THEN i ELSE ahi END,
+             CASE side WHEN 0 THEN blo ELSE j + k END, CASE side WHEN 0 THEN j ELSE bhi END,
+             CASE side WHEN 0 THEN k ELSE 0 END
+      FROM (SELECT *, best // 1000000 AS k, 999 - best // 1000 % 1000 AS i, 999 - best % 1000 AS j
+            FROM (SELECT *, {IN_SEGMENT} AS best FROM ro WHERE alo < ahi AND blo < bhi)
+            WHERE best IS NOT NULL), (VALUES (0), (1)) AS s(side)),
+    ratios AS (
+      SELECT a, b, CASE WHEN a = '' AND b = '' THEN 1.0 WHEN a = '' OR b = '' THEN 0.0
+                   ELSE 2.0 * CAST(sum(m) AS DOUBLE) / (length(a) + length(b)) END AS fuzzy
+      FROM ro GROUP BY a, b),
+    scores AS (
+      SELECT c.*, fuzzy, CASE WHEN c.a <> '' AND c.a = c.b THEN 1.0 ELSE
+          CAST(printf('%.4f', greatest((token_set + fuzzy) / 2, 0.95 * fuzzy, 0.95 * token_set))
+            AS DOUBLE) END AS match_score
+      FROM cand c JOIN ratios r ON r.a = c.a AND r.b = c.b),
+    hits AS (
+      SELECT *, CASE WHEN a <> '' AND a = b THEN 'exact match (normalized)' ELSE
+          printf('token_set=%.2f, fuzzy=%.2f, score=%.2f', token_set, fuzzy, match_score) END AS reason
+      FROM scores WHERE match_score >= 0.8)"""
+VALUE_HITS = f"""WITH RECURSIVE {VALUES},
+    cand AS (SELECT a.normal AS a, b.normal AS b, {TOKEN_SET} AS token_set
+             FROM v a JOIN v b ON a.normal < b.normal WHERE {MAYBE}), {SCORED}"""
+DUPLICATES = f"""WITH RECURSIVE {VALUES},
+    cand AS (SELECT a.normal AS a, b.normal AS b, {TOKEN_SET} AS token_set,
+               a.id AS id_a, a.value AS value_a, a.records AS records_a,
+               b.id AS id_b, b.value AS value_b, b.records AS records_b
+             FROM v a JOIN v b ON a.id < b.id WHERE {MAYBE}), {SCORED}"""
+
+
+def scored_values(t: Tables) -> DataFrame:
+    return matching.match_pairs(value_pairs(t, 0.8)).filter("match_score >= 0.8")
+
+
+query("fuzzy_ratio", ("names",), f"{VALUE_HITS} SELECT a, b, round(fuzzy, 6) AS fuzzy FROM hits")(
+    lambda t: scored_values(t).select("a", "b", F.round("fuzzy", 6).alias("fuzzy"))
+)
+query("match_score", ("names",), f"{VALUE_HITS} SELECT a, b, match_score FROM hits")(
+    lambda t: scored_values(t).select("a", "b", "match_score")
+)
+query("match_reason", ("names",), f"{VALUE_HITS} SELECT a, b, reason FROM hits")(
+    lambda t: scored_values(t).select("a", "b", "reason")
+)
 
 
-@query("match_reason")
+@query(
+    "candidate_pairs",
+    ("names",),
+    f"""WITH {VALUES}
+        SELECT a.normal AS a, b.normal AS b FROM v a JOIN v b ON a.normal < b.normal
+        WHERE {TOKEN_SET} >= 0.6 OR (levenshtein(a.normal, b.normal) * 2
+          <= (length(a.normal) + length(b.normal)) * (1 - 0.79995 / 0.95) AND a.normal <> '')""",
+)
 def _(t: Tables) -> DataFrame:
-    return matching.match_pairs(value_pairs(t, 0.8)).select("a", "b", "reason")
+    """The pairs that blocking must find: similar tokens, or few edits however they are counted."""
+    total = F.length("a") + F.length("b")
+    similarity = token_set_similarity(tokens(F.col("a")), tokens(F.col("b")))
+    few = F.levenshtein("a", "b") * 2 <= total * F.lit(1 - 0.79995 / 0.95)
+    return value_pairs(t, 0.8).filter((similarity >= 0.6) | few)
 
 
 def asked(t: Tables) -> DataFrame:
@@ -412,7 +484,22 @@ def asked(t: Tables) -> DataFrame:
     )
 
 
-@query("find_candidates")
+@query(
+    "find_candidates",
+    ("names",),
+    f"""WITH RECURSIVE {VALUES},
+        q AS (SELECT upper(p_name) AS query_value, min(p_partkey) AS query_id,
+                     lower(p_name) AS normal, {tokens_sql('lower(p_name)')} AS tok
+              FROM part GROUP BY p_name),
+        cand AS (SELECT a.normal AS a, b.normal AS b, {TOKEN_SET} AS token_set, query_id,
+                   query_value, b.normal AS candidate_normal, b.id AS candidate_id,
+                   b.value AS candidate_value, b.records
+                 FROM q a JOIN v b ON {MAYBE}
+                 WHERE NOT (b.records = 1 AND b.id = a.query_id)), {SCORED}
+        SELECT query_id, query_value, candidate_normal, candidate_id, candidate_value, records,
+               match_score, reason, row_number() OVER (PARTITION BY query_id
+                 ORDER BY match_score DESC, candidate_id, candidate_normal) AS rank FROM hits""",
+)
 def _(t: Tables) -> DataFrame:
     return matching.find_candidates(asked(t), t.names(), "query_id", "query_name", "id", "name")
 
@@ -435,7 +522,12 @@ def _(t: Tables) -> DataFrame:
     ).select(F.col("query_id").alias("p_brand"), F.col("candidate_id").alias("p_partkey"), "rank")
 
 
-@query("duplicate_candidates")
+@query(
+    "duplicate_candidates",
+    ("names",),
+    f"""{DUPLICATES} SELECT a, b, id_a, value_a, records_a, id_b, value_b, records_b, token_set,
+          fuzzy, match_score, reason FROM hits""",
+)
 def _(t: Tables) -> DataFrame:
     return matching.duplicate_candidates(t.names(), "id", "name")
 
@@ -481,7 +573,13 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@query("candidate_count")
+@query(
+    "candidate_count",
+    ("names",),
+    f"""{DUPLICATES} SELECT 'similar' AS kind,
+          CAST(coalesce(sum(records_a * records_b), 0) AS DOUBLE) AS pairs FROM hits
+        UNION ALL SELECT 'equal', CAST(sum(records * (records - 1) / 2) AS DOUBLE) FROM v""",
+)
 def _(t: Tables) -> DataFrame:
     found = matching.duplicate_candidates(t.names(), "id", "name")
     return matching.candidate_count(t.names(), "id", "name", found)
@@ -574,15 +672,26 @@ def audit(t: Tables) -> DataFrame:
     return survivorship.merge_audit(master(t), instructions(t), VENDORS, "api", T2)
 
 
-@query("merge_audit")
-def _(t: Tables) -> DataFrame:
-    return audit(t)
-
-
-@query("merge_best_score")
-def _(t: Tables) -> DataFrame:
-    return survivorship.merge_best_score(master(t), instructions(t), VENDORS)
-
+BEST_SCORE = f"""WITH RECURSIVE
+    m AS (SELECT vendor_pk, {normal_sql('vendor_name')} AS normal FROM vendor_records),
+    w AS (SELECT *, {tokens_sql('normal')} AS tok FROM m),
+    cand AS (SELECT b.normal AS b, a.normal AS a, {TOKEN_SET} AS token_set,
+               a.vendor_pk AS survivor_id, b.vendor_pk AS other
+             FROM w a JOIN w b ON b.vendor_pk IN (a.vendor_pk - 1, a.vendor_pk + 1)
+             WHERE (a.vendor_pk // 3) % 2 = 0 AND a.vendor_pk % 3 = 1),
+    {SCORED.replace("WHERE match_score >= 0.8", "WHERE match_score > 0")},
+    best AS (SELECT *, row_number() OVER (PARTITION BY survivor_id
+               ORDER BY match_score DESC, other) AS rn FROM hits),
+    audit AS (SELECT i.*, coalesce(h.match_score, 0.0) AS match_score,
+                coalesce(h.reason, '') AS reason
+              FROM ({AUDIT}) i LEFT JOIN best h ON h.survivor_id = i.survivor_id AND rn = 1)"""
+
+query("merge_audit", ("vendor_records",), f"{BEST_SCORE} SELECT * FROM audit")(audit)
+query(
+    "merge_best_score",
+    ("vendor_records",),
+    f"{BEST_SCORE} SELECT survivor_id, duplicate_ids, match_score, reason FROM audit",
+)(lambda t: survivorship.merge_best_score(master(t), instructions(t), VENDORS))
 
 query("merge_history", (), f"SELECT domain, survivor_id, duplicate_ids, merged_at FROM ({AUDIT})")(
     lambda t: survivorship.merge_history(audit(t)).drop("match_score")
@@ -769,8 +878,6 @@ def _(t: Tables) -> DataFrame:
           'failed rules: 0'""",
 )
 def _(t: Tables) -> DataFrame:
-    from checks.etl_queries import clean
-
     outcomes = scd2.scd2_outcome(t.master_zones(1), zone_load(t), "location_id", ZONE_ATTRS)
     results = quality.dq_results(clean(t), t.zones(), t.vendors(), "r1", "2024-01-01T00:00:00")
     return survivorship.audit_events(audit(t), outcomes, quality.dq_run_summary(results), T1)

@@ -528,5 +528,7 @@ def with_tables(names: tuple[str, ...], body: str) -> str:
         return body
     body = body.strip()
     # A body with definitions of its own continues the list.
-    rest = ", " + body[4:] if body.upper().startswith("WITH ") else "\n" + body
-    return f"WITH {parts}{rest}"
+    for start in ("WITH RECURSIVE", "WITH"):
+        if body.startswith(start):
+            return f"{start} {parts}, {body[len(start) :]}"
+    return f"WITH {parts}\n{body}"
