@@ -122,7 +122,7 @@ def check_instructions(
         )
     )
     numbered = instructions.withColumn(
-        "_key", F.xxhash64(F.to_json(F.struct("survivor_id", "duplicate_ids")))
+        "_key", F.sha2(F.to_json(F.struct("survivor_id", "duplicate_ids")), 256)
     )
     uses = numbered.filter(complete).select("_key", "survivor_id", named.alias("_id"))
     shared = uses.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id")
