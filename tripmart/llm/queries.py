@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bpe, exact_dedup, mixing, secrets_scan, url_filter
+from tripmart.llm import bpe, exact_dedup, mixing, near_dedup, secrets_scan, url_filter
 from tripmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+@register("op8_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
 @register(
     "op10_mixing",
     rf"""
