@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripmart.llm import bpe, exact_dedup, mixing, near_dedup, secrets_scan, url_filter
+from tripmart.llm import (
+    bpe,
+    embedding_dedup,
+    exact_dedup,
+    mixing,
+    near_dedup,
+    secrets_scan,
+    url_filter,
+)
 from tripmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +105,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, folder, "documents"))
 
 
+@register("op9_embedding_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.vector_groups(table(spark, folder, "embeddings"))
+
+
 @register(
     "op10_mixing",
     rf"""
