@@ -37,3 +37,30 @@ def word_count(text: Column) -> Column:
 def fold(key: Column, parts: int) -> Column:
     """The remainder of the CRC-32 of a value's text, as the label splits use it."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % parts
+
+
+class Known(dict):
+    """Codes of the byte strings met so far, with a row of numbers for each.
+
+    ``describe`` gives the row of a string that is new. What is known is forgotten between
+    batches once it is more than ``most`` strings, so memory is bounded.
+    """
+
+    def __init__(self, describe, most: int = 400_000) -> None:
+        super().__init__()
+        self.describe, self.most, self.rows = describe, most, []
+
+    def __missing__(self, part: bytes) -> int:
+        self[part] = code = len(self.rows)
+        self.rows.append(self.describe(part))
+        return code
+
+    def begin_batch(self) -> None:
+        if len(self.rows) > self.most:
+            self.clear()
+            self.rows.clear()
+
+
+def utf8(value) -> bytes:
+    """The bytes of an Arrow string, a null as an empty one."""
+    return value.as_buffer().to_pybytes() if value.is_valid else b""

@@ -10,9 +10,12 @@ from tripmart.llm import (
     bpe,
     embedding_dedup,
     exact_dedup,
+    language_id,
     mixing,
     near_dedup,
+    quality_crf,
     secrets_scan,
+    toxicity,
     url_filter,
 )
 from tripmart.llm.common import table
@@ -75,11 +78,26 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rule_table(spark))
 
 
+@register("op3_toxicity")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register("op4_language")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.language(table(spark, folder, "documents"))
+
+
 @register("op5_secrets")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return secrets_scan.span_digest(secrets_scan.scan_secrets(table(spark, folder, "documents")))
 
 
+@register("op6_quality")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_crf.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @register(
     "op7_exact_dedup",
     r"""
