@@ -134,8 +134,9 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.binary()),
                 pa.array(signatures, pa.binary()),
+                batch.column(2),
             ],
-            ["_id", "n_shingles", "set_key", "sig"],
+            ["_id", "n_shingles", "set_key", "sig", "_hash"],
         )
 
 
@@ -405,11 +406,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document; a null id is a component's only if it has no other. An empty table gives an
     empty result.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return _groups(docs, id_col, text_col).drop("_hash")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(
+        F.col(id_col).alias("_id"),
+        F.col(text_col).alias("_text"),
+        F.xxhash64(text_col).alias("_hash"),
+    )
     id_type = rows.schema["_id"].dataType.simpleString()
     sketches = parked(
         rows.mapInArrow(
-            _sketch, f"_id {id_type}, n_shingles bigint, set_key binary, sig binary"
+            _sketch, f"_id {id_type}, n_shingles bigint, set_key binary, sig binary, _hash bigint"
         ),
         "sketches",
     )
@@ -427,23 +436,27 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     names = parked(grouped.groupBy("comp").agg(F.min("first_id").alias("component_id")), "names")
     labels = parked(grouped.join(names, "comp").select("set_key", "component_id"), "labels")
+    component = F.when(F.col("set_key").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return sketches.join(labels, "set_key", "left").select(
         F.col("_id").alias(id_col),
         "n_shingles",
-        F.when(F.col("set_key").isNull(), F.col("_id"))
-        .otherwise(F.col("component_id"))
-        .alias("component_id"),
-        F.col("_id")
-        .eqNullSafe(F.when(F.col("set_key").isNull(), F.col("_id")).otherwise(F.col("component_id")))
-        .alias("kept"),
+        component.alias("component_id"),
+        F.col("_id").eqNullSafe(component).alias("kept"),
+        "_hash",
     )
 
 
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose document stays: one of each component."""
-    gone = parked(
-        near_groups(docs, id_col, text_col).where("not kept").select(id_col).distinct(), "gone"
+    """The rows of ``docs`` that stay: of each component those with the smallest id.
+
+    Rows are named by id and hash of the text, so that of rows that share an id but not
+    the text each is judged by its own. Rows without an id stay.
+    """
+    gone = _groups(docs, id_col, text_col).where("not kept").select(
+        F.col(id_col).alias("_gone"), "_hash"
     )
-    return docs.join(gone, id_col, "left_anti")
+    gone = parked(gone.distinct(), "gone")
+    match = (F.col(id_col) == F.col("_gone")) & (F.xxhash64(text_col) == F.col("_hash"))
+    return docs.join(gone, match, "left_anti")

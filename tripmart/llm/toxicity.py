@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmart.llm.common import Known, fold, parked, utf8
 
@@ -170,7 +171,12 @@ def text_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFram
 
     ``half`` names the lexicon: 0 the whole one, else the one of the other half.
     """
-    id_type = rows.schema["_id"].dataType.simpleString()
+    schema = (
+        T.StructType()
+        .add("_id", rows.schema["_id"].dataType)
+        .add("other", T.IntegerType())
+        .add("features", T.ArrayType(T.DoubleType()))
+    )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {h: Known(_describer(lexicons[(0, 2, 1)[h]])) for h in (0, 1, 2)}
@@ -191,9 +197,7 @@ def text_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFram
                 ["_id", "other", "features"],
             )
 
-    return rows.select("_id", "other", "half", "text").mapInArrow(
-        compute, f"_id {id_type}, other int, features array<double>"
-    )
+    return rows.select("_id", "other", "half", "text").mapInArrow(compute, schema)
 
 
 class ToxicityModel:
@@ -204,23 +208,30 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Id and ``score`` of every row, 0 to 1. A null text is an empty one."""
+        return self._scored(docs, F.col(id_col), text_col).withColumnRenamed("_id", id_col)
+
+    def keep_clean(self, docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
+        """The rows of ``docs`` scored below ``least``, passed through without a shuffle."""
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        return self._scored(docs, row, text_col).where(F.col("score") < least).select("_id.*")
+
+    def _scored(self, docs: DataFrame, key: Column, text_col: str) -> DataFrame:
         rows = docs.select(
-            F.col(id_col).alias("_id"),
+            key.alias("_id"),
             F.lit(0).alias("other"),
             F.lit(0).alias("half"),
             F.col(text_col).alias("text"),
         )
         if self.trees is None:
-            return rows.select(F.col("_id").alias(id_col), F.lit(self.prior).alias("score"))
+            return rows.select("_id", F.lit(self.prior).alias("score"))
         scored = _raw(self.trees, text_features(rows, self.lexicons))
-        calibrated = self.isotonic.transform(scored) if self.isotonic else scored.withColumn(
-            "prediction", F.col("raw")
-        )
+        if self.isotonic:
+            scored = self.isotonic.transform(scored)
+        else:
+            scored = scored.withColumn("prediction", F.col("raw"))
         # The steps of the calibration keep the order of the trees within them.
         score = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
-        return calibrated.select(
-            F.col("_id").alias(id_col), (score * 0.999 + F.col("raw") * 0.001).alias("score")
-        )
+        return scored.select("_id", (score * 0.999 + F.col("raw") * 0.001).alias("score"))
 
 
 def _raw(trees, features: DataFrame) -> DataFrame:
@@ -285,6 +296,16 @@ def train(labelled: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityMod
     return ToxicityModel(lexicons, trees, isotonic, prior)
 
 
+def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """Fit on the rows of ``docs`` that ``labels`` (doc_id, toxic) covers."""
+    marked = (
+        labels.where("doc_id is not null and toxic is not null")
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("label"))
+    )
+    return train(docs.select("doc_id", "text").join(marked, "doc_id"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row of ``docs``.
 
@@ -292,12 +313,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     fold. Labels, language, source and id are no input of a score. Repeated rows get the
     same score, null texts that of an empty text; an empty table gives an empty result.
     """
-    marked = (
-        labels.where("doc_id is not null and toxic is not null")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("label"))
-    )
-    model = train(docs.select("doc_id", "text").join(marked, "doc_id"))
+    model = fit(docs, labels)
     held_out = fold(F.col("doc_id"), 5) == 0
     return model.score(docs).select(
         "doc_id",
