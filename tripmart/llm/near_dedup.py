@@ -14,7 +14,8 @@ Only connections matter, so a bucket is not turned into all its pairs:
    need no look any more. This connects most of a large group by a linear number of pairs.
 2. Remainders: in buckets that still hold several components, all classes outside the
    bucket's main one are compared with all classes of other components, in chunks of a
-   bounded number of signatures. Nothing is skipped but what is connected already.
+   bounded number of classes. Nothing is skipped but what is connected already, and only
+   links come out.
 
 A pair of the least similarity shares a band with a probability above 0.99999.
 """
@@ -41,7 +42,8 @@ BATCH = 30
 MISS = 1e-5
 PERCENT = 85  # a link needs 100 * intersection >= PERCENT * union
 STAR_ROUNDS = 2
-CHUNK_ALL, CHUNK_FEW = 512, 128
+STAR_BEST = (2, 16)  # pairs a component verifies, in the turns of a round
+CHUNK_ALL, CHUNK_FEW = 256, 64
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(20240607)
@@ -166,9 +168,10 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys.view(np.int64).ravel()),
+                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(minima))),
                 pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)),
             ],
-            ["key", "cid"],
+            ["key", "band", "cid"],
         )
 
 
@@ -184,30 +187,53 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _prune_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A chunk of a bucket's lesser components against a chunk of all, row by row."""
-    for batch in batches:
-        for few, every in zip(batch.column(0), batch.column(1)):
-            few, every = few.values, every.values
-            a, b = few.field("cid").to_numpy(), every.field("cid").to_numpy()
-            comp_a, comp_b = few.field("comp").to_numpy(), every.field("comp").to_numpy()
-            lesser = every.field("lesser").to_numpy(zero_copy_only=False)
-            left, right = _matrix(few.field("sig")), _matrix(every.field("sig"))
-            for i in range(len(a)):
-                # Two lesser classes meet once; a main class meets every lesser one.
-                take = np.flatnonzero((comp_b != comp_a[i]) & (~lesser | (b > a[i])))
-                alive, matches = surviving(
-                    np.broadcast_to(left[i], (len(take), HASHES)), right[take]
-                )
-                other = b[take[alive]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.minimum(a[i], other)),
-                        pa.array(np.maximum(a[i], other)),
-                        pa.array(matches),
-                    ],
-                    ["a", "b", "matches"],
-                )
+def _bucket_links(key, table):
+    """Links of a bucket's lesser components: one chunk of them against one chunk of all.
+
+    A pair is looked at in the first band it shares only. For each lesser class one link to
+    every other component is enough, the most promising pairs are verified first.
+    """
+    few_chunk, every_chunk = key[1].as_py(), key[2].as_py()
+    band = table.column("band")[0].as_py()
+    cid = table.column("cid").to_numpy()
+    comp = table.column("comp").to_numpy()
+    lesser = table.column("lesser").to_numpy()
+    every = table.column("chunk").to_numpy() == every_chunk
+    few = np.flatnonzero(lesser & (table.column("few").to_numpy() == few_chunk))
+    sig = _matrix(table.column("sig"))
+    texts, sets = table.column("text"), {}
+
+    def shingles(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingle_set(texts[i].as_py())
+        return sets[i]
+
+    links = []
+    for i in few:
+        # Two lesser classes meet once; a main class meets every lesser one.
+        other = np.flatnonzero(every & (comp != comp[i]) & (~lesser | (cid > cid[i])))
+        same = (sig[other] == sig[i]).reshape(-1, BANDS, ROWS).all(axis=2)
+        other = other[same.argmax(axis=1) == band] if len(other) else other
+        alive, matches = surviving(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other])
+        rest = other[alive[np.argsort(-matches, kind="stable")]]
+        take = 8
+        while len(rest):
+            now, rest = rest[:take], rest[take:]
+            mine, theirs = shingles(i), [shingles(j) for j in now]
+            size = np.array([len(x) for x in theirs])
+            flat = np.concatenate(theirs)
+            at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+            both = np.add.reduceat(mine[at] == flat, np.cumsum(size) - size, dtype=np.int64)
+            good = now[100 * both >= PERCENT * (len(mine) + size - both)]
+            for j in good[np.unique(comp[good], return_index=True)[1]]:
+                links.append((int(cid[i]), int(cid[j])))
+            rest, take = rest[~np.isin(comp[rest], comp[good])], 256
+    return pa.table(
+        {
+            "a": pa.array([x[0] for x in links], pa.int64()),
+            "b": pa.array([x[1] for x in links], pa.int64()),
+        }
+    )
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,9 +257,11 @@ class _Search:
 
     def __init__(self, classes: DataFrame, docs: DataFrame, text_col: str) -> None:
         self.classes = classes
-        keys = classes.select("cid", "sig").mapInArrow(_band_keys, "key bigint, cid bigint")
+        keys = classes.select("cid", "sig").mapInArrow(
+            _band_keys, "key bigint, band int, cid bigint"
+        )
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        self.buckets = parked(keys.join(shared, "key").select("key", "cid"), "buckets")
+        self.buckets = parked(keys.join(shared, "key").select("key", "band", "cid"), "buckets")
         self.comps = parked(
             self.buckets.select("cid").distinct().withColumn("comp", F.col("cid")), "comps"
         )
@@ -260,7 +288,7 @@ class _Search:
             .where("lo < hi")
             .select("key")
         )
-        return parked(rows.join(open_keys, "key").select("key", "cid", "comp"), "mixed")
+        return parked(rows.join(open_keys, "key").select("key", "band", "cid", "comp"), "mixed")
 
     def star(self, mixed: DataFrame, turn: int) -> DataFrame:
         """Survivors among the pairs of each class with its bucket's leader of this turn."""
@@ -293,7 +321,7 @@ class _Search:
         )
 
     def remainder(self, mixed: DataFrame) -> DataFrame:
-        """Survivors among all pairs of a bucket's lesser components with the others."""
+        """Links of all classes outside a bucket's main component with the others in it."""
         sizes = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
         main = parked(
             sizes.groupBy("key").agg(
@@ -301,34 +329,43 @@ class _Search:
             ),
             "mains",
         ).select("key", F.col("main.comp").alias("main"), F.col("main.n").alias("most"), "total")
-        chunk = F.xxhash64("cid", F.lit(3))
+        place = F.xxhash64("cid", F.lit(3))
+        chunks = F.ceil(F.col("total") / CHUNK_ALL).cast("int")
+        fews = F.ceil((F.col("total") - F.col("most")) / CHUNK_FEW).cast("int")
         rows = (
             mixed.join(main, "key")
             .withColumn("lesser", F.col("comp") != F.col("main"))
-            .withColumn("chunk", F.pmod(chunk, F.ceil(F.col("total") / CHUNK_ALL)))
-            .withColumn(
-                "few",
-                F.pmod(chunk, F.ceil((F.col("total") - F.col("most")) / CHUNK_FEW)),
-            )
+            .withColumn("chunks", chunks)
+            .withColumn("fews", fews)
+            .withColumn("chunk", F.pmod(place, F.col("chunks")).cast("int"))
+            .withColumn("few", F.pmod(place, F.col("fews")).cast("int"))
         )
-        rows = parked(rows.select("key", "cid", "comp", "lesser", "chunk", "few"), "members")
-        signed = rows.join(self.sigs, "cid")
-        member = F.struct("cid", "comp", "lesser", "sig")
-        # Chunks hold a bounded number of signatures; they, not members, are joined.
-        every = signed.groupBy("key", "chunk").agg(F.collect_list(member).alias("every"))
-        lesser = (
-            signed.where("lesser")
-            .groupBy("key", "few")
-            .agg(F.collect_list(member).alias("some"))
+        rows = parked(rows, "members")
+        # A chunk of lesser classes meets a chunk of all: a class goes to the groups
+        # that it has a part in, each with a bounded number of classes.
+        as_one_of_all = F.transform(
+            F.sequence(F.lit(0), F.col("fews") - 1),
+            lambda i: F.struct(i.alias("fc"), F.col("chunk").alias("ac")),
         )
-        pairs = (
-            lesser.join(every, "key")
-            .select("some", "every")
-            .mapInArrow(_prune_chunks, "a bigint, b bigint, matches bigint")
-            .groupBy("a", "b")
-            .agg(F.max("matches").alias("matches"))
+        as_lesser = F.transform(
+            F.sequence(F.lit(0), F.col("chunks") - 1),
+            lambda i: F.struct(F.col("few").alias("fc"), i.alias("ac")),
+        )
+        groups = F.when(
+            F.col("lesser"), F.array_distinct(F.concat(as_one_of_all, as_lesser))
+        ).otherwise(as_one_of_all)
+        members = (
+            rows.join(self.sigs, "cid")
+            .join(self.texts, "cid")
+            .withColumn("group", F.explode(groups))
+            .select(
+                "key", "group.fc", "group.ac", "band", "cid", "comp", "lesser", "chunk", "few",
+                "sig", "text",
+            )
+        )
+        return members.groupBy("key", "fc", "ac").applyInArrow(
+            _bucket_links, "a bigint, b bigint"
         )
-        return self.untested(pairs)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         texts = self.texts
@@ -348,14 +385,25 @@ class _Search:
             .where("comp_a <> comp_b")
         )
 
-    def settle(self, pool: DataFrame, best: int, turns: int | None = None) -> None:
-        """Verify pairs of the pool, each component's best first, and join components.
+    def join_by(self, links: DataFrame) -> None:
+        """Join the components that links connect."""
+        joined = self.across(parked(links, "links")).select("comp_a", "comp_b").distinct()
+        new = components(joined, "comp_a", "comp_b")
+        self.comps = parked(
+            self.comps.join(new, F.col("comp") == F.col("node"), "left").select(
+                "cid", F.coalesce("component", "comp").alias("comp")
+            ),
+            "comps",
+        )
+
+    def settle(self, pool: DataFrame) -> None:
+        """Verify the pairs that look best to each component, in turns; join what they link.
 
-        Each turn takes eight times as many pairs a component as the one before; without
-        a limit of turns it ends when no pair across components is left.
+        What is not verified here and still lies between components is left to the
+        remainder.
         """
         pool = parked(pool, "pool")
-        while turns is None or turns > 0:
+        for best in STAR_BEST:
             across = parked(self.across(self.untested(pool)), "across")
             if across.isEmpty():
                 return
@@ -372,27 +420,17 @@ class _Search:
                 "chosen",
             )
             self.tested = chosen if self.tested is None else self.tested.unionByName(chosen)
-            links = parked(self.verify(chosen), "links")
-            joined = self.across(links).select("comp_a", "comp_b").distinct()
-            new = components(joined, "comp_a", "comp_b")
-            self.comps = parked(
-                self.comps.join(new, F.col("comp") == F.col("node"), "left").select(
-                    "cid", F.coalesce("component", "comp").alias("comp")
-                ),
-                "comps",
-            )
-            best *= 8
-            turns = None if turns is None else turns - 1
+            self.join_by(self.verify(chosen))
 
     def run(self) -> DataFrame:
         for turn in range(STAR_ROUNDS):
             mixed = self.mixed()
             if mixed.isEmpty():
                 return self.comps
-            self.settle(self.star(mixed, turn), best=2, turns=2)
+            self.settle(self.star(mixed, turn))
         mixed = self.mixed()
         if not mixed.isEmpty():
-            self.settle(self.remainder(mixed), best=4)
+            self.join_by(self.remainder(mixed))
         return self.comps
 
 
