@@ -1,0 +1,49 @@
+"""Spans of the secret scan."""
+
+import re
+
+from tripmart.llm import secrets_scan as scan
+
+VOCABULARY = scan.default_vocabulary()
+
+
+def kinds(text):
+    return [(scan.KINDS[k], text[a:b]) for a, k, b in scan.find_spans(text, VOCABULARY)]
+
+
+def test_patterns():
+    assert kinds("é PassWord : 'abcdef' x") == [("assign", "PassWord : 'abcdef")]
+    assert kinds("token=short token=longer") == [("assign", "token=longer")]
+    assert kinds("api_key=apikey=xyz") == [("assign", "api_key=apikey=xyz")]
+    assert kinds("ſecret=abcdefgh") == []  # a letter that only folds to s
+    assert kinds("AKIA" + "A" * 16) == [("access", "AKIA" + "A" * 16)]
+    assert kinds("AKIA" + "A" * 15) == []
+    assert kinds("g" + "0a" * 12 + "g") == [("hex", "0a" * 12)]
+    assert kinds("0a" * 11) == []
+    assert kinds(None or "") == []
+
+
+def test_random_strings_but_no_names():
+    assert kinds("key q9X2vL7pZ4tR8wK1mN5b end") == [("random", "q9X2vL7pZ4tR8wK1mN5b")]
+    for clean in (
+        "internationalisation_of_the_user_interface_2",
+        "123e4567-e89b-12d3-a456-426614174000",
+        "DEADBEEF" * 4,
+        "2024-06-01-release-candidate-12",
+        "https://example.com/some/long/path/of/words",
+        "ththeredourinonatiner" * 3,
+    ):
+        assert kinds(clean) == [], clean
+
+
+def test_scan(docs, no_docs):
+    got = scan.span_digest(scan.scan_secrets(docs)).collect()
+    assert len(got) == docs.count()
+    texts = dict(docs.select("doc_id", "text").collect())
+    for r in got:
+        text = texts[r.doc_id] or ""
+        assert r.n_hex == sum(len(h) >= 24 for h in re.findall("[0-9a-f]+", text))
+        for span in filter(None, r.spans.split(",")):
+            kind, start, end = span.split(":")
+            assert kind in scan.KINDS and 0 <= int(start) < int(end) <= len(text)
+    assert scan.span_digest(scan.scan_secrets(no_docs)).collect() == []
