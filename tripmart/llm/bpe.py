@@ -1,33 +1,43 @@
-"""BPE encoding and decoding through a table of distinct words.
-
-The tokenizer works between white space, so a text is the sequence of its words, and a
-word has the same ids wherever it stands. Each task splits its documents into words and
-writes, for blocks of documents, the block's distinct words with a code each and every
-document as a list of codes. All distinct words are encoded once; their ids are joined
-with an id-to-piece table, which spells the decoded word; both are joined back to the
-blocks by word, and each block puts ids and pieces at the positions of its codes.
-
-Only distinct words and codes move, no text: the lists of codes stay in the bucket files
-they were written to, and a block's words (a bounded number) meet them there.
+"""BPE encoding and decoding through distinct words.
+
+The tokenizer never looks across white space, and between white space only at one run of
+letters, digits or signs at a time: these are the words here. Each task splits its
+documents and writes, for blocks of documents, the block's distinct words with a code
+each, and every document as a list of codes. Sorted by word, all places of a word lie
+together: it is encoded once, and its ids go back to the blocks. There an id-to-piece join
+spells the ids, and both are put at the positions of the codes.
+
+Only distinct words and their ids are shuffled, no text and no positions: the lists of
+codes stay in the bucket files they were written to, and a block's words, a bounded
+number, meet them there. A word that every block has is a row per block, not one group.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import WORD
 from tripmart.runtime import fresh_folder
 
-BLOCK_WORDS = 3_000_000  # words of a block's documents before the next block begins
+BLOCK_WORDS = 5_000_000  # words of a block's documents before the next block begins
+
+# The tokenizer's pattern between white space, and the characters for which
+# lower case, composition and classes are the same in every library. Other stretches of
+# text, and those that may hold a special token, are left to the tokenizer whole.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+PLAIN = re.compile(r"[\x21-\x7e\u00c0-\u012f\u0131-\u017f]*\Z")
 
 
 def default_vocabulary() -> str:
@@ -55,19 +65,36 @@ def _unpacked(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
 
 
+class _Codes(dict):
+    """Codes of the words in a stretch between white space, by the stretch's bytes."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.words: dict[str, int] = {}
+
+    def __missing__(self, stretch: bytes) -> list[int]:
+        text = stretch.decode()
+        if PLAIN.match(text) and "<|" not in text:
+            words = PIECES.findall(text.lower())
+        else:
+            words = [text]
+        self[stretch] = codes = [self.words.setdefault(w, len(self.words)) for w in words]
+        return codes
+
+
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a block: its documents as codes, then its distinct words with theirs."""
-    ids, lists, codes, n_words, n_blocks, id_type = [], [], {}, 0, 0, None
+    ids, lists, codes, n_words, n_blocks, id_type = [], [], _Codes(), 0, 0, None
     task = TaskContext.get().partitionId()
 
     def block() -> pa.RecordBatch:
-        n, m = len(ids), len(codes)
+        n, m = len(ids), len(codes.words)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([task << 32 | n_blocks] * (n + m), pa.int64()),
                 pa.array(ids + [None] * m, id_type),
                 pa.array(lists + [None] * m, pa.binary()),
-                pa.array([None] * n + list(codes), pa.string()),
+                pa.array([None] * n + list(codes.words), pa.string()),
                 pa.array([None] * n + list(range(m)), pa.int32()),
             ],
             ["block", "_id", "codes", "word", "code"],
@@ -76,13 +103,14 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         id_type = batch.schema.field(0).type
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            here = [codes.setdefault(w, len(codes)) for w in WORD.findall(text.as_py() or "")]
+            stretches = text.as_buffer().to_pybytes().split() if text.is_valid else []
+            here = list(chain.from_iterable([codes[s] for s in stretches]))
             ids.append(key)
             lists.append(_packed(here))
             n_words += len(here)
             if n_words >= BLOCK_WORDS:
                 yield block()
-                ids, lists, codes, n_words, n_blocks = [], [], {}, 0, n_blocks + 1
+                ids, lists, codes, n_words, n_blocks = [], [], _Codes(), 0, n_blocks + 1
     if ids:
         yield block()
 
@@ -104,20 +132,37 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 
 
 def encode_words(words: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Distinct ``word`` s with their ``ids``."""
+    """``block``, ``code`` and ``ids`` for all places of words, each word encoded once."""
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        tokenizer, last = _tokenizer(path), None
         for batch in batches:
-            words = batch.column(0)
-            for at in range(0, len(words), 5000):
-                part = words.slice(at, 5000)
-                found = tokenizer.encode_batch_fast(part.to_pylist(), add_special_tokens=False)
-                ids = pa.array([e.ids for e in found], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part, ids], ["word", "ids"])
+            runs = pc.run_end_encode(batch.column(0))
+            found = runs.values.to_pylist()
+            # A run may go on from the batch before; only words that are new are encoded.
+            known = [last[1]] if last and found and found[0] == last[0] else []
+            fresh = tokenizer.encode_batch_fast(found[len(known) :], add_special_tokens=False)
+            ids = known + [e.ids for e in fresh]
+            if found:
+                last = (found[-1], ids[-1])
+            counts = np.diff(runs.run_ends.to_numpy(), prepend=0)
+            places = pa.array(np.repeat(np.arange(len(ids)), counts))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1),
+                    batch.column(2),
+                    pa.array(ids, pa.list_(pa.int32())).take(places),
+                ],
+                ["block", "code", "ids"],
+            )
 
-    return words.select("word").mapInArrow(encode, "word string, ids array<int>")
+    return (
+        words.select("word", "block", "code")
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(encode, "block bigint, code int, ids array<int>")
+    )
 
 
 def id_pieces(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
@@ -129,46 +174,45 @@ def id_pieces(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
     return spark.createDataFrame(list(pieces.items()), "id int, piece string")
 
 
-def decode_words(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``word``, ``ids`` and ``spelled``, its pieces joined by blanks."""
-    spelled = F.sort_array(F.collect_list(F.struct("at", "id", "piece"))).alias("_all")
+def spell(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
+    """A row for each token of a block's words: place in the word, id and piece.
+
+    Rows are brought to their block before they are spelled.
+    """
+    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        encoded.select("word", F.posexplode("ids").alias("at", "id"))
+        encoded.repartition(parts, "block")
+        .select(F.col("block").alias("_block"), "code", F.posexplode("ids").alias("at", "id"))
         .join(F.broadcast(pieces), "id")  # the fixed vocabulary, whatever the corpus
-        .groupBy("word")
-        .agg(spelled)
-        .select(
-            "word",
-            F.col("_all.id").alias("ids"),
-            F.array_join(F.col("_all.piece"), " ").alias("spelled"),
-        )
+        .select("_block", "code", "at", "id", "piece")
     )
 
 
-def _place(docs: pa.Table, words: pa.Table) -> pa.Table:
+def _place(docs: pa.Table, tokens: pa.Table) -> pa.Table:
     """The ids and pieces of a block's words at the positions of its documents' codes."""
-    size = 1 + max(words.column("code").to_pylist(), default=-1)
     lists = [_unpacked(c) for c in docs.column("codes").to_pylist()]
-    size = max([size, *(int(c.max()) + 1 for c in lists if len(c))])
-    codes = words.column("code").to_numpy()
-    spelled = np.full(size, "", object)
-    spelled[codes] = words.column("spelled").to_pylist()
-    ids = words.column("ids").combine_chunks()
-    offsets = ids.offsets.to_numpy().astype(np.int64)
-    flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4")
-    begin, length = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    begin[codes], length[codes] = offsets[:-1], np.diff(offsets)
-    tokens, texts = [], []
+    size = 1 + max((int(c.max()) for c in lists if len(c)), default=-1)
+    code = tokens.column("code").to_numpy()
+    order = np.lexsort((tokens.column("at").to_numpy(), code))
+    flat = tokens.column("id").to_numpy()[order].astype("<u4")
+    named = tokens.column("piece").combine_chunks().dictionary_encode()
+    if isinstance(named, pa.ChunkedArray):
+        named = named.combine_chunks()
+    names = np.array([*named.dictionary.to_pylist(), ""], object)
+    pieces = names[named.indices.to_numpy()[order]]
+    length = np.bincount(code, minlength=size)  # a word that is dropped whole has none
+    begin = np.cumsum(length) - length
+    found, texts = [], []
     for c in lists:
         n = length[c]
         ends = np.cumsum(n)
         where = np.repeat(begin[c] - ends + n, n) + np.arange(ends[-1] if len(c) else 0)
-        tokens.append(flat[where].tobytes())
-        texts.append(" ".join(spelled[c[n > 0]].tolist()))
+        found.append(flat[where].tobytes())
+        texts.append(" ".join(pieces[where].tolist()))
     return pa.table(
         {
             "_id": docs.column("_id"),
-            "tokens": pa.array(tokens, pa.binary()),
+            "tokens": pa.array(found, pa.binary()),
             "decoded": pa.array(texts, pa.string()),
         }
     )
@@ -195,17 +239,12 @@ def encode_decode(
         )
     )
     words = blocks.where("code is not null").select("block", "word", "code")
-    encoded = encode_words(words.select("word").distinct(), vocabulary)
-    spelled = decode_words(encoded, id_pieces(spark, vocabulary))
-    # A word that the tokenizer drops whole is in no row here and takes no place.
-    back = words.join(spelled, "word").select(
-        F.col("block").alias("_block"), "code", "ids", "spelled"
-    )
+    spelled = spell(encode_words(words, vocabulary), id_pieces(spark, vocabulary))
     return (
         blocks.where("code is null")
         .select("block", "_id", "codes")
         .groupBy("block")
-        .cogroup(back.groupBy("_block"))
+        .cogroup(spelled.groupBy("_block"))
         .applyInArrow(_place, f"_id {id_type}, tokens binary, decoded string")
         .withColumnRenamed("_id", id_col)
     )
