@@ -2,14 +2,15 @@
 
 The tokenizer never looks across white space, and between white space only at one run of
 letters, digits or signs at a time: these are the words here. Each task splits its
-documents and writes, for blocks of documents, the block's distinct words with a code
-each, and every document as a list of codes. Sorted by word, all places of a word lie
-together: it is encoded once, and its ids go back to the blocks. There an id-to-piece join
-spells the ids, and both are put at the positions of the codes.
-
-Only distinct words and their ids are shuffled, no text and no positions: the lists of
-codes stay in the bucket files they were written to, and a block's words, a bounded
-number, meet them there. A word that every block has is a row per block, not one group.
+documents and writes, for blocks of documents, every document as a list of codes and the
+block's distinct words, dealt to buckets by hash and packed in sorted order. A bucket holds
+its words of all blocks: each is encoded once, and the ids go back to the blocks in the
+same packing. An id-to-piece join spells the ids that a block uses, and both are put at the
+positions of the codes.
+
+Only packed distinct words and their ids are shuffled, no text and no positions: the lists
+of codes stay in the bucket files they were written to, and a block's words, a bounded
+number, meet them there. A word that every block has is one entry a block, not a group.
 """
 
 from __future__ import annotations
@@ -25,13 +26,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.llm.common import utf8
 from tripmart.runtime import fresh_folder
 
-BLOCK_WORDS = 5_000_000  # words of a block's documents before the next block begins
+BLOCK_WORDS = 3_000_000  # words of a block's documents before the next block begins
 
 # The tokenizer's pattern between white space, and the characters for which
 # lower case, composition and classes are the same in every library. Other stretches of
@@ -56,7 +60,7 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-def _packed(codes: list[int]) -> bytes:
+def _packed(codes) -> bytes:
     """Codes by byte planes: the high bytes are mostly zero and compress away."""
     return np.array(codes, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
 
@@ -82,37 +86,61 @@ class _Codes(dict):
         return codes
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a block: its documents as codes, then its distinct words with theirs."""
-    ids, lists, codes, n_words, n_blocks, id_type = [], [], _Codes(), 0, 0, None
-    task = TaskContext.get().partitionId()
-
-    def block() -> pa.RecordBatch:
-        n, m = len(ids), len(codes.words)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([task << 32 | n_blocks] * (n + m), pa.int64()),
-                pa.array(ids + [None] * m, id_type),
-                pa.array(lists + [None] * m, pa.binary()),
-                pa.array([None] * n + list(codes.words), pa.string()),
-                pa.array([None] * n + list(range(m)), pa.int32()),
-            ],
-            ["block", "_id", "codes", "word", "code"],
-        )
+def _compressed(planes: bytes) -> bytes:
+    return zstandard.compress(planes, 3)
+
+
+def _dealt(words: list[str], buckets: int) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """Words by bucket, sorted and packed; and the codes (positions) in that order."""
+    ordered = sorted(range(len(words)), key=words.__getitem__)
+    hashes = [xxhash.xxh3_64_intdigest(words[i].encode()) for i in ordered]
+    bucket = (np.array(hashes, np.uint64) % np.uint64(buckets)).astype(np.int64)
+    by_bucket = np.argsort(bucket, kind="stable")
+    order = np.array(ordered, np.int64)[by_bucket]
+    used, starts = np.unique(bucket[by_bucket], return_index=True)
+    packed = []
+    for number, part in zip(used.tolist(), np.split(order, starts[1:])):
+        packed.append((number, _compressed("\n".join([words[i] for i in part]).encode())))
+    return order, packed
+
+
+def _splitter(buckets: int):
+    """Rows of a block: its documents as codes, the order of its words, and the words."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, lists, codes, n_words, n_blocks, id_type = [], [], _Codes(), 0, 0, None
+        task = TaskContext.get().partitionId()
+
+        def block() -> pa.RecordBatch:
+            order, packed = _dealt(list(codes.words), buckets)
+            n, m = len(ids), len(packed)
+            listed = [_compressed(_packed(order))]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task << 32 | n_blocks] * (n + 1 + m), pa.int64()),
+                    pa.array(ids + [None] * (1 + m), id_type),
+                    pa.array(lists + [None] * (1 + m), pa.binary()),
+                    pa.array([None] * n + listed + [None] * m, pa.binary()),
+                    pa.array([None] * (n + 1) + [p[0] for p in packed], pa.int32()),
+                    pa.array([None] * (n + 1) + [p[1] for p in packed], pa.binary()),
+                ],
+                ["block", "_id", "codes", "word_order", "bucket", "words"],
+            )
+
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                here = list(chain.from_iterable([codes[s] for s in utf8(text).split()]))
+                ids.append(key)
+                lists.append(_packed(here))
+                n_words += len(here)
+                if n_words >= BLOCK_WORDS:
+                    yield block()
+                    ids, lists, codes, n_words, n_blocks = [], [], _Codes(), 0, n_blocks + 1
+        if ids:
+            yield block()
 
-    for batch in batches:
-        id_type = batch.schema.field(0).type
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            stretches = text.as_buffer().to_pybytes().split() if text.is_valid else []
-            here = list(chain.from_iterable([codes[s] for s in stretches]))
-            ids.append(key)
-            lists.append(_packed(here))
-            n_words += len(here)
-            if n_words >= BLOCK_WORDS:
-                yield block()
-                ids, lists, codes, n_words, n_blocks = [], [], _Codes(), 0, n_blocks + 1
-    if ids:
-        yield block()
+    return split
 
 
 def _bucketed(rows: DataFrame) -> DataFrame:
@@ -132,36 +160,48 @@ def _bucketed(rows: DataFrame) -> DataFrame:
 
 
 def encode_words(words: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """``block``, ``code`` and ``ids`` for all places of words, each word encoded once."""
+    """The packed ids of packed words (block, bucket, words), and the ids that they use.
+
+    A row with ``ids`` for each row of words, and rows with an ``id`` for each different
+    one in it. A bucket's rows lie together, and each of its words is encoded once.
+    """
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, last = _tokenizer(path), None
+        tokenizer, current, known = _tokenizer(path), None, {}
         for batch in batches:
-            runs = pc.run_end_encode(batch.column(0))
-            found = runs.values.to_pylist()
-            # A run may go on from the batch before; only words that are new are encoded.
-            known = [last[1]] if last and found and found[0] == last[0] else []
-            fresh = tokenizer.encode_batch_fast(found[len(known) :], add_special_tokens=False)
-            ids = known + [e.ids for e in fresh]
-            if found:
-                last = (found[-1], ids[-1])
-            counts = np.diff(runs.run_ends.to_numpy(), prepend=0)
-            places = pa.array(np.repeat(np.arange(len(ids)), counts))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(1),
-                    batch.column(2),
-                    pa.array(ids, pa.list_(pa.int32())).take(places),
-                ],
-                ["block", "code", "ids"],
-            )
+            for bucket, block, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if bucket != current:
+                    current, known = bucket, {}
+                words = zstandard.decompress(packed).decode().split("\n")
+                fresh = [w for w in words if w not in known]
+                for at in range(0, len(fresh), 5000):
+                    part = fresh[at : at + 5000]
+                    found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                    known.update(zip(part, [e.ids for e in found]))
+                ids = [known[w] for w in words]
+                flat = list(chain.from_iterable(ids))
+                used = np.unique(np.array(flat, np.int32))
+                n = len(used)
+                listed = [_compressed(_packed(x)) for x in ([len(i) for i in ids], flat)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block] * (n + 1), pa.int64()),
+                        pa.array([bucket] + [None] * n, pa.int32()),
+                        pa.array([listed[0]] + [None] * n, pa.binary()),
+                        pa.array([listed[1]] + [None] * n, pa.binary()),
+                        pa.array([None] + used.tolist(), pa.int32()),
+                    ],
+                    ["_block", "bucket", "lengths", "ids", "id"],
+                )
 
     return (
-        words.select("word", "block", "code")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInArrow(encode, "block bigint, code int, ids array<int>")
+        words.select("bucket", "block", "words")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(
+            encode, "_block bigint, bucket int, lengths binary, ids binary, id int"
+        )
     )
 
 
@@ -175,44 +215,55 @@ def id_pieces(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
 
 
 def spell(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """A row for each token of a block's words: place in the word, id and piece.
-
-    Rows are brought to their block before they are spelled.
-    """
+    """``encoded`` brought to its blocks, with the ``piece`` of every id that they use."""
     parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        encoded.repartition(parts, "block")
-        .select(F.col("block").alias("_block"), "code", F.posexplode("ids").alias("at", "id"))
-        .join(F.broadcast(pieces), "id")  # the fixed vocabulary, whatever the corpus
-        .select("_block", "code", "at", "id", "piece")
-    )
+    # The fixed vocabulary is broadcast, whatever the corpus.
+    return encoded.repartition(parts, "_block").join(F.broadcast(pieces), "id", "left")
 
 
-def _place(docs: pa.Table, tokens: pa.Table) -> pa.Table:
+def _place(docs: pa.Table, words: pa.Table) -> pa.Table:
     """The ids and pieces of a block's words at the positions of its documents' codes."""
-    lists = [_unpacked(c) for c in docs.column("codes").to_pylist()]
-    size = 1 + max((int(c.max()) for c in lists if len(c)), default=-1)
-    code = tokens.column("code").to_numpy()
-    order = np.lexsort((tokens.column("at").to_numpy(), code))
-    flat = tokens.column("id").to_numpy()[order].astype("<u4")
-    named = tokens.column("piece").combine_chunks().dictionary_encode()
+
+    def unpack(part: bytes) -> np.ndarray:
+        return _unpacked(zstandard.decompress(part))
+
+    ids, codes = docs.column("_id"), docs.column("codes")
+    at = pc.is_valid(docs.column("word_order")).to_numpy().argmax()
+    order = unpack(docs.column("word_order")[at].as_py())
+    packed = words.filter(pc.is_valid(words.column("bucket"))).sort_by("bucket")
+    size = len(order)
+    length, begin = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    flat = np.zeros(0, "<u4")
+    if packed.num_rows:
+        # Words are in the order of buckets, as they were dealt.
+        n = np.concatenate([unpack(x) for x in packed.column("lengths").to_pylist()])
+        flat = np.concatenate([unpack(x) for x in packed.column("ids").to_pylist()])
+        length[order] = n
+        begin[order] = np.cumsum(n, dtype=np.int64) - n
+    used = words.filter(pc.is_valid(words.column("id")))
+    names = np.full(1 + max(flat.max(initial=0), 0), "", object)
+    named = used.column("piece").combine_chunks().dictionary_encode()
     if isinstance(named, pa.ChunkedArray):
         named = named.combine_chunks()
-    names = np.array([*named.dictionary.to_pylist(), ""], object)
-    pieces = names[named.indices.to_numpy()[order]]
-    length = np.bincount(code, minlength=size)  # a word that is dropped whole has none
-    begin = np.cumsum(length) - length
-    found, texts = [], []
-    for c in lists:
-        n = length[c]
+    if used.num_rows:
+        spelled = np.array(named.dictionary.to_pylist(), object)
+        names[used.column("id").to_numpy()] = spelled[named.indices.to_numpy()]
+    tokens, texts, keep = [], [], []
+    for row in range(docs.num_rows):
+        if row == at:
+            continue
+        c = _unpacked(codes[row].as_py())
+        n = length[c]  # a word that is dropped whole has none
         ends = np.cumsum(n)
         where = np.repeat(begin[c] - ends + n, n) + np.arange(ends[-1] if len(c) else 0)
-        found.append(flat[where].tobytes())
-        texts.append(" ".join(pieces[where].tolist()))
+        mine = flat[where]
+        keep.append(row)
+        tokens.append(mine.tobytes())
+        texts.append(" ".join(names[mine].tolist()))
     return pa.table(
         {
-            "_id": docs.column("_id"),
-            "tokens": pa.array(found, pa.binary()),
+            "_id": ids.take(pa.array(keep, pa.int64())),
+            "tokens": pa.array(tokens, pa.binary()),
             "decoded": pa.array(texts, pa.string()),
         }
     )
@@ -233,16 +284,19 @@ def encode_decode(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = rows.schema["_id"].dataType.simpleString()
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = _bucketed(
         rows.mapInArrow(
-            _split, f"block bigint, _id {id_type}, codes binary, word string, code int"
+            _splitter(buckets),
+            f"block bigint, _id {id_type}, codes binary, word_order binary, bucket int, "
+            "words binary",
         )
     )
-    words = blocks.where("code is not null").select("block", "word", "code")
+    words = blocks.where("bucket is not null").select("block", "bucket", "words")
     spelled = spell(encode_words(words, vocabulary), id_pieces(spark, vocabulary))
     return (
-        blocks.where("code is null")
-        .select("block", "_id", "codes")
+        blocks.where("bucket is null")
+        .select("block", "_id", "codes", "word_order")
         .groupBy("block")
         .cogroup(spelled.groupBy("_block"))
         .applyInArrow(_place, f"_id {id_type}, tokens binary, decoded string")
