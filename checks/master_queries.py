@@ -260,6 +260,16 @@ query(
         scd2.with_surrogate_keys(zone_history(t), ZONE_ATTRS), ZONE_ATTRS
     )
 )
+query(
+    "dim_current_vendor",
+    VENDOR_TABLES,
+    f"""SELECT surrogate_key, natural_key, {', '.join(VENDOR_ATTRS)}, valid_from
+        FROM (SELECT *, {NUMBERED} FROM {VENDOR_MERGED}) WHERE is_current""",
+)(
+    lambda t: dimensions.current_rows(
+        scd2.with_surrogate_keys(vendor_history(t), VENDOR_ATTRS), VENDOR_ATTRS
+    )
+)
 query(
     "point_in_time",
     ZONE_TABLES,
@@ -328,7 +338,7 @@ def tokens_sql(normal: str) -> str:
     )
 
 
-VALUES = f"""v AS (SELECT normal, min(id) AS id, min(name) AS value, count(*) AS records,
+VALUES = f"""v AS (SELECT normal, min(id) AS id, arg_min(name, id) AS value, count(*) AS records,
                    {tokens_sql('normal')} AS tok
             FROM (SELECT id, name, {normal_sql('name')} AS normal FROM names) GROUP BY normal)"""
 TOKEN_SET = """CASE WHEN len(a.tok) = 0 AND len(b.tok) = 0 THEN 1.0
@@ -532,6 +542,28 @@ def _(t: Tables) -> DataFrame:
     return matching.duplicate_candidates(t.names(), "id", "name")
 
 
+@query(
+    "candidate_records",
+    ("names",),
+    f"""{DUPLICATES},
+        sides AS (SELECT a AS normal, id_a AS query_id, value_a AS query_value, b AS other,
+                    match_score, reason FROM hits)
+        SELECT s.query_id, s.query_value, n.id AS record_id, n.name AS record_value,
+          s.match_score, s.reason
+        FROM sides s JOIN names n ON {normal_sql('n.name')} = s.other WHERE n.id <> s.query_id""",
+)
+def _(t: Tables) -> DataFrame:
+    """All records behind the candidates of each value group's first record."""
+    found = matching.duplicate_candidates(t.names(), "id", "name").select(
+        F.col("id_a").alias("query_id"),
+        F.col("value_a").alias("query_value"),
+        F.col("b").alias("candidate_normal"),
+        "match_score",
+        "reason",
+    )
+    return matching.records_of_candidates(found, t.names(), "id", "name")
+
+
 @query(
     "exact_copies",
     ("names",),
@@ -612,8 +644,15 @@ query("golden_record", ("golden",), "SELECT * FROM golden")(
 query(
     "golden_sources",
     ("vendor_records",),
-    "SELECT vendor_id AS grp, vendor_pk AS source_id FROM vendor_records",
+    """SELECT vendor_id AS grp, vendor_pk AS source_id, nullif(source_system, '') AS source_system
+       FROM vendor_records""",
 )(lambda t: survivorship.golden_sources(records(t), "grp", "vendor_pk"))
+query(
+    "contributing_sources",
+    ("vendor_records",),
+    """SELECT DISTINCT vendor_id AS grp, source_system FROM vendor_records
+       WHERE source_system <> ''""",
+)(lambda t: survivorship.contributing_sources(records(t), "grp"))
 
 
 def master(t: Tables) -> DataFrame:

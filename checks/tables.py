@@ -467,10 +467,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
                arg_min(contact_email, rank)
                  FILTER (coalesce(contact_email, '') <> '') AS contact_email,
                arg_min(vendor_pk, rank) AS survivor_id,
-               count(*) AS source_count,
-               array_to_string(list_sort(list(vendor_pk)), ',') AS source_ids,
-               coalesce(array_to_string(list_sort(list(DISTINCT source_system)
-                 FILTER (source_system IS NOT NULL)), ','), '') AS contributing_sources
+               count(*) AS source_count
         FROM ranked GROUP BY grp
         """,
     ),

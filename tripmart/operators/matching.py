@@ -42,14 +42,14 @@ LONG_TEXT = 32
 
 
 def value_groups(df: DataFrame, id_col: str, value_col: str) -> DataFrame:
-    """Distinct normal forms with smallest id, number of records and one spelling."""
+    """Distinct normal forms with number of records, smallest id and that record's spelling."""
     return (
         df.select(F.col(id_col).alias("_id"), F.col(value_col).alias("_value"))
         .withColumn("normal", normalize(F.col("_value")))
         .groupBy("normal")
         .agg(
             F.min("_id").alias("id"),
-            F.min("_value").alias("value"),
+            F.min_by("_value", "_id").alias("value"),
             F.count(F.lit(1)).alias("records"),
         )
     )

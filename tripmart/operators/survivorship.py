@@ -13,9 +13,6 @@ from tripmart.operators.scd2 import scd2_merge
 from tripmart.runtime import broadcast_if_small
 from tripmart.schemas import Domain
 
-# A list of ids longer than this is not packed into one row.
-LIST_LIMIT = 10_000
-
 
 def source_trust(source: Column) -> Column:
     """Trust of a source system, 0 for an unknown one."""
@@ -62,11 +59,10 @@ def survivor_rank(
 def golden_record(
     df: DataFrame, group: str, attrs: tuple[str, ...], id_col: str
 ) -> DataFrame:
-    """One row per merge group: best value of each attribute, sources, survivor.
+    """One row per merge group: best value of each attribute, counts, survivor.
 
-    All columns but ``source_ids`` are aggregates with small partial results.
-    ``source_ids`` lists the ids in order for groups of up to LIST_LIMIT records
-    and is NULL for larger ones, whose ids are in ``golden_sources``.
+    Every column is an aggregate with small partial results. The records and
+    sources behind a group are rows of ``golden_sources``, however many there are.
     """
     types = dict(df.dtypes)
     standing = F.struct(*_standing(df, attrs, id_col))
@@ -76,30 +72,29 @@ def golden_record(
         if types[a] == "string":
             filled = filled & (F.col(a) != "")
         picked.append(F.max_by(F.col(a), F.when(filled, F.col("_standing"))).alias(a))
-    sources = F.when(F.col("source_system") != "", F.col("source_system"))
-    golden = (
+    return (
         df.withColumn("_standing", standing)
         .groupBy(group)
         .agg(
             *picked,
             F.count(id_col).alias("source_count"),
-            F.array_sort(F.collect_set(sources)).alias("contributing_sources"),
             F.max_by(F.col(id_col), F.col("_standing")).alias("survivor_id"),
         )
     )
-    large = golden.filter(F.col("source_count") > LIST_LIMIT).select(group)
-    lists = (
-        golden_sources(df, group, id_col)
-        .join(large, group, "left_anti")
-        .groupBy(group)
-        .agg(F.sort_array(F.collect_list("source_id")).alias("source_ids"))
-    )
-    return golden.join(lists, group, "left")
 
 
 def golden_sources(df: DataFrame, group: str, id_col: str) -> DataFrame:
-    """All records behind each golden record, one row each."""
-    return df.select(group, F.col(id_col).alias("source_id")).filter("source_id IS NOT NULL")
+    """All records behind each golden record with their source, one row each."""
+    source = F.when(F.col("source_system") != "", F.col("source_system"))
+    return df.select(
+        group, F.col(id_col).alias("source_id"), source.alias("source_system")
+    ).filter("source_id IS NOT NULL")
+
+
+def contributing_sources(df: DataFrame, group: str) -> DataFrame:
+    """The distinct sources of each merge group, one row each."""
+    named = F.col("source_system") != ""
+    return df.filter(named).select(group, "source_system").distinct()
 
 
 # --- merges by instruction ---------------------------------------------------------
