@@ -163,37 +163,53 @@ def with_surrogate_keys(
 def scd2_check(history: DataFrame) -> DataFrame:
     """Broken rules of a history; no rows when all versions chain up.
 
-    Works with equi-joins on key and time instead of a window per key, so a key
-    with very many versions is spread over the cluster.
+    Starts and ends are counted by key and time, then by key; both counts are
+    aggregates with partial results, so a key with very many versions is spread
+    over the cluster, and the history is read once.
     """
-    starts = history.select("natural_key", F.col("valid_from").alias("at"))
-    ends = history.select("natural_key", F.col("valid_to").alias("at"), "is_current")
-    per_key = history.groupBy("natural_key").agg(
-        F.count_if(F.col("is_current")).alias("n"), F.min("valid_from").alias("first")
-    )
-
-    def report(df: DataFrame, kind: str) -> DataFrame:
-        return df.select("natural_key", F.lit(kind).alias("violation"))
-
-    later = starts.join(
-        per_key.select("natural_key", F.col("first").alias("at")), ["natural_key", "at"], "left_anti"
-    )
-    parts = [
-        report(per_key.filter("n <> 1"), "not one current version"),
-        report(history.filter("valid_from >= valid_to"), "empty interval"),
-        report(
-            starts.groupBy("natural_key", "at").count().filter("count > 1"), "two versions start together"
+    one, none = F.lit(1), F.lit(0)
+    events = history.select(
+        "natural_key",
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("valid_from").alias("at"),
+                    one.alias("start"),
+                    none.alias("end"),
+                    none.alias("closed"),
+                    F.col("is_current").cast("int").alias("current"),
+                    (F.col("valid_from") >= F.col("valid_to")).cast("int").alias("empty"),
+                ),
+                F.struct(
+                    F.col("valid_to").alias("at"),
+                    none.alias("start"),
+                    one.alias("end"),
+                    (~F.col("is_current")).cast("int").alias("closed"),
+                    none.alias("current"),
+                    none.alias("empty"),
+                ),
+            )
         ),
-        report(
-            ends.groupBy("natural_key", "at").count().filter("count > 1"), "two versions end together"
-        ),
-        report(
-            ends.filter("NOT is_current").join(starts, ["natural_key", "at"], "left_anti"),
-            "no version follows",
+    )
+    counts = ("start", "end", "closed", "current", "empty")
+    moments = events.groupBy("natural_key", "at").agg(*[F.sum(c).alias(c) for c in counts])
+    begun = F.col("start") > 0
+    unpreceded = F.when(F.col("end") == 0, F.col("start")).otherwise(0)
+    per_key = moments.groupBy("natural_key").agg(
+        (F.sum("current") != 1).cast("bigint").alias("not one current version"),
+        F.sum("empty").alias("empty interval"),
+        F.count_if(F.col("start") > 1).alias("two versions start together"),
+        F.count_if(F.col("end") > 1).alias("two versions end together"),
+        F.sum(F.when(F.col("start") == 0, F.col("closed")).otherwise(0)).alias(
+            "no version follows"
         ),
-        report(later.join(ends, ["natural_key", "at"], "left_anti"), "no version precedes"),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        # Nothing has to come before the first start.
+        (
+            F.sum(unpreceded) - F.coalesce(F.min_by(unpreceded, F.when(begun, F.col("at"))), none)
+        ).alias("no version precedes"),
+    )
+    kinds = [c for c in per_key.columns if c != "natural_key"]
+    found = F.flatten(
+        F.array(*[F.array_repeat(F.lit(kind), F.col(f"`{kind}`").cast("int")) for kind in kinds])
+    )
+    return per_key.select("natural_key", F.explode(found).alias("violation"))

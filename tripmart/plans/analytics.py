@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 def _trips() -> Column:
     return F.count(F.lit(1)).alias("trips")
@@ -120,11 +121,14 @@ def vendor_performance(fact: DataFrame, vendor_history: DataFrame) -> DataFrame:
     )
 
 
-def tip_rate(fact: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Tips over fares, in total or by group."""
-    return fact.groupBy(*by).agg(
-        F.try_divide(F.sum("tip_amount"), F.sum("fare_amount")).alias("tip_rate")
-    )
+def tip_rate(fact: DataFrame, by: tuple[str, ...] = (), with_total: bool = False) -> DataFrame:
+    """Tips over fares, in total or by group; ``with_total`` adds the total to the groups."""
+    rate = F.try_divide(F.sum("tip_amount"), F.sum("fare_amount")).alias("tip_rate")
+    if not with_total:
+        return fact.groupBy(*by).agg(rate)
+    columns = [F.col(c) for c in by]
+    # Tips and fares are sums already when the total is formed: one pass over the fact.
+    return fact.groupingSets([columns, []], *columns).agg(rate)
 
 
 def borough_share(fact: DataFrame) -> DataFrame:
@@ -132,8 +136,10 @@ def borough_share(fact: DataFrame) -> DataFrame:
     per = fact.groupBy("pickup_borough").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")
     )
-    trips = per.agg(F.sum("trips").cast("decimal(18,0)")).scalar()
-    revenue = per.agg(F.sum("revenue")).scalar()
+    # One row a borough is left here; their sum is the total.
+    every = Window.partitionBy()
+    trips = F.sum(F.col("trips").cast("decimal(18,0)")).over(every).cast("decimal(18,0)")
+    revenue = F.sum("revenue").over(every)
     percent = F.lit(100).cast("decimal(3,0)")
     return per.select(
         "pickup_borough",

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Up to TINY_BYTES of input a side is safe to broadcast whatever its compression;
@@ -66,9 +67,24 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once by a reliable checkpoint in the shared folder."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` once, as parquet in the shared folder."""
+    path = f"{fresh_folder(df.sparkSession, 'cut')}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with a row count that is taken while it is written."""
+    seen = Observation(f"{name} {uuid.uuid4().hex}")
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def rows_seen(seen: Observation) -> int:
+    """The count; 0 where Spark found nothing to write and left the counting out."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
 
 
 def file_system(spark: SparkSession, path: str):

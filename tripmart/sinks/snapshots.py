@@ -46,32 +46,47 @@ def _marker(spark: SparkSession, dest: str, version: int) -> dict:
     return json.loads(text)
 
 
+def _current(spark: SparkSession, dest: str) -> dict | None:
+    """The newest marker that is whole; one whose writer broke off is passed over."""
+    for version in reversed(_published(spark, dest)):
+        try:
+            return _marker(spark, dest, version)
+        except json.JSONDecodeError:
+            continue
+    return None
+
+
 def snapshot_exists(spark: SparkSession, dest: str) -> bool:
-    return bool(_published(spark, dest))
+    return _current(spark, dest) is not None
 
 
 def snapshot_tag(spark: SparkSession, dest: str) -> str | None:
-    """The tag given when the current version was published."""
-    versions = _published(spark, dest)
-    return _marker(spark, dest, versions[-1])["tag"] if versions else None
+    """The tag of the current version, from its writer or one before."""
+    marker = _current(spark, dest)
+    return marker["tag"] if marker else None
 
 
 def read_snapshot(spark: SparkSession, dest: str, version: int | None = None) -> DataFrame:
     """The current version, or an older one by number."""
-    versions = _published(spark, dest)
-    if not versions:
+    marker = _current(spark, dest) if version is None else _marker(spark, dest, version)
+    if marker is None:
         raise FileNotFoundError(f"no snapshot published below {dest}")
-    marker = _marker(spark, dest, versions[-1] if version is None else version)
     schema = StructType.fromJson(marker["schema"])
     return spark.read.schema(schema).parquet(f"{dest}/{marker['folder']}")
 
 
 def publish_snapshot(
-    df: DataFrame, dest: str, tag: str = "", partition_by: tuple[str, ...] = ()
+    df: DataFrame, dest: str, tag: str | None = None, partition_by: tuple[str, ...] = ()
 ) -> int:
-    """Write ``df`` as the next version of ``dest`` and make it current."""
+    """Write ``df`` as the next version of ``dest`` and make it current.
+
+    Without a tag the one of the version before goes on, so that a writer that knows
+    nothing of tags does not lose what another has noted.
+    """
     spark = df.sparkSession
     versions = _published(spark, dest)
+    if tag is None:
+        tag = snapshot_tag(spark, dest) or ""
     version = versions[-1] + 1 if versions else 1
     folder = f"v={version:08d}-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
