@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -13,7 +15,11 @@ from checks.master_queries import (
     ZONE_ATTRS,
     ZONE_MERGED,
     ZONE_REVISED,
+    VENDOR_ATTRS,
+    VENDOR_MERGED,
+    VENDOR_TABLES,
     ZONE_TABLES,
+    vendor_history,
     zone_history,
     zone_load,
 )
@@ -109,17 +115,25 @@ def warehouse_tables(t: Tables) -> dict[str, DataFrame]:
         "fact_trip": wide(t),
         "dim_date": calendar.withColumnRenamed("day_of_week_name", "day_of_week"),
         "dim_zone_scd2": scd2.with_surrogate_keys(zone_history(t), ZONE_ATTRS),
+        "dim_vendor_scd2": scd2.with_surrogate_keys(vendor_history(t), VENDOR_ATTRS),
         "dq_run_summary": stored_summary(t),
     }
 
 
-LOADED = f"""SELECT 'fact_trip' AS tbl, count(*) AS rows FROM fact WHERE vendor_id % 10 NOT IN (1, 2, 3)
+OTHER_TABLES = f"""
     UNION ALL SELECT 'dim_date', count(DISTINCT pickup_date) FROM fact
     UNION ALL SELECT 'dim_zone_scd2', count(*) FROM {ZONE_MERGED}
+    UNION ALL SELECT 'dim_vendor_scd2', count(*) FROM {VENDOR_MERGED}
     UNION ALL SELECT 'dq_run_summary', 3"""
+HISTORY_TABLES = (*ZONE_TABLES, *VENDOR_TABLES)
 
 
-@query("warehouse_load", ("fact", *ZONE_TABLES), LOADED)
+@query(
+    "warehouse_load",
+    ("fact", *HISTORY_TABLES),
+    f"""SELECT 'fact_trip' AS tbl, count(*) AS rows FROM fact
+        WHERE vendor_id % 10 NOT IN (1, 2, 3) {OTHER_TABLES}""",
+)
 def _(t: Tables) -> DataFrame:
     """Rows per warehouse table after a load; rejected rows are not in it."""
     base = fresh_folder(t.spark, "warehouse")
@@ -130,14 +144,32 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "warehouse_rejects",
+    ("fact",),
+    """SELECT vendor_id, CASE vendor_id % 10 WHEN 1 THEN 'vendor_code too long'
+         WHEN 2 THEN 'fare_amount out of range' ELSE 'trip_id is null' END AS load_errors,
+         count(*) AS trips, sum(count(*)) OVER () AS reported
+       FROM fact WHERE vendor_id % 10 IN (1, 2, 3) GROUP BY 1, 2""",
+)
+def _(t: Tables) -> DataFrame:
+    """What a load keeps of the rows that it refuses, and the number it reports."""
+    base = fresh_folder(t.spark, "rejects")
+    reported = warehouse.load({"fact_trip": wide(t)}, base)["fact_trip"]
+    return (
+        t.spark.read.parquet(f"{base}/warehouse/_rejects/fact_trip")
+        .groupBy("vendor_id", F.array_join("load_errors", ", ").alias("load_errors"))
+        .agg(F.count(F.lit(1)).alias("trips"), F.lit(reported).cast("bigint").alias("reported"))
+    )
+
+
 @query(
     "load_counts",
-    ("fact", *ZONE_TABLES),
-    f"""SELECT 'fact_trip' AS tbl, count(*) AS rows FROM fact
-        UNION ALL SELECT 'dim_zone_scd2', count(*) FROM {ZONE_MERGED}""",
+    ("fact", *HISTORY_TABLES),
+    f"SELECT 'fact_trip' AS tbl, count(*) AS rows FROM fact {OTHER_TABLES}",
 )
 def _(t: Tables) -> DataFrame:
-    return warehouse.load_counts({"fact_trip": fact(t), "dim_zone_scd2": zone_history(t)})
+    return warehouse.load_counts({**warehouse_tables(t), "fact_trip": fact(t)})
 
 
 # --- monitoring -----------------------------------------------------------------------
@@ -222,9 +254,13 @@ def landing_zone(t: Tables, trips: DataFrame) -> str:
     "batch_run",
     ("landed",),
     """SELECT 'r1' AS run_id, step, status, rows FROM (VALUES
-          ('land', 'done', 3), ('etl', 'done', (SELECT count(*) FROM landed)),
-          ('quality', 'done', 0), ('gate', 'done', 1), ('transform', 'done', 2),
-          ('history', 'done', 2),
+          ('land', 'done', (SELECT count(*) FROM landed) + (SELECT count(*) FROM nation)
+             + (SELECT count(*) FROM supplier)),
+          ('etl', 'done', (SELECT count(*) FROM landed)),
+          ('quality', 'done', 0), ('gate', 'done', 0),
+          ('transform', 'done', (SELECT count(*) FROM landed)),
+          ('history', 'done', (SELECT count(*) FROM nation) + (SELECT count(*) FROM supplier)),
+          ('rejects', 'done', 0),
           ('warehouse', 'done', (SELECT count(*) + count(DISTINCT CAST(pickup_datetime AS DATE)) + 1
              + (SELECT count(*) FROM nation) + (SELECT count(*) FROM supplier) FROM landed))
         ) AS v(step, status, rows)""",
@@ -239,11 +275,12 @@ def _(t: Tables) -> DataFrame:
     "batch_run_stopped",
     ("dirty",),
     f"""SELECT 'r1' AS run_id, step, status, rows FROM (VALUES
-          ('land', 'done', 3),
+          ('land', 'done', (SELECT count(*) FROM dirty) + (SELECT count(*) FROM nation)
+             + (SELECT count(*) FROM supplier)),
           ('etl', 'done', (SELECT count(*) FROM dirty WHERE {VALID})),
           ('quality', 'done', (SELECT count(*) FROM dirty WHERE NOT {VALID})),
-          ('gate', 'failed', 0), ('transform', 'skipped', 0), ('history', 'skipped', 0),
-          ('warehouse', 'skipped', 0)) AS v(step, status, rows)""",
+          ('gate', 'failed', 4), ('transform', 'skipped', 0), ('history', 'skipped', 0),
+          ('warehouse', 'skipped', 0), ('rejects', 'skipped', 0)) AS v(step, status, rows)""",
 )
 def _(t: Tables) -> DataFrame:
     """A dirty feed is stopped by the quality gate."""
@@ -251,6 +288,51 @@ def _(t: Tables) -> DataFrame:
     return run_batch(t.spark, base, "r1", "2024-03-01 00:00:00").to_df(t.spark)
 
 
+@query(
+    "batch_run_twice",
+    ("fact",),
+    f"""SELECT 'fact_trip' AS tbl, trip_id AS id, {dbl('fare_amount')} AS value FROM fact
+        UNION ALL SELECT 'warehouse fact_trip', trip_id, {dbl('fare_amount')} FROM fact
+        UNION ALL SELECT DISTINCT 'dim_date', strftime(pickup_date, '%Y-%m-%d'),
+          CAST(year(pickup_date) AS DOUBLE) FROM fact
+        UNION ALL SELECT 'dim_zone_scd2', CAST(n_nationkey AS VARCHAR), 1.0 FROM nation
+        UNION ALL SELECT 'dim_vendor_scd2', CAST(s_suppkey AS VARCHAR), 1.0 FROM supplier""",
+)
+def _(t: Tables) -> DataFrame:
+    """The tables after two batches that share dates, the second of them run again."""
+    trips = t.trips_landed()
+    odd = F.col("l_orderkey") % 2 == 1
+    base = landing_zone(t, trips.filter(odd))
+    run_batch(t.spark, base, "1", "2024-03-01 00:00:00")
+    trips.filter(~odd).drop("l_orderkey").write.parquet(f"{base}/incoming/yellow_taxi/day2")
+    for _ in range(2):
+        run_batch(t.spark, base, "2", "2024-03-02 00:00:00")
+
+    def rows(name: str, df: DataFrame, key, value) -> DataFrame:
+        return df.select(
+            F.lit(name).alias("tbl"), key.cast("string").alias("id"), value.cast("double").alias("value")
+        )
+
+    read = t.spark.read.parquet
+    facts_of = [
+        rows(name, read(f"{base}/{folder}/fact_trip"), F.col("trip_id"), F.col("fare_amount"))
+        for name, folder in (("fact_trip", "curated"), ("warehouse fact_trip", "warehouse"))
+    ]
+    calendar = rows(
+        "dim_date", read(f"{base}/curated/dim_date"), F.col("pickup_date"), F.col("year")
+    )
+    histories = [
+        rows(
+            name,
+            read_snapshot(t.spark, f"{base}/master/{name}").groupBy("natural_key").count(),
+            F.col("natural_key"),
+            F.col("count"),
+        )
+        for name in ("dim_zone_scd2", "dim_vendor_scd2")
+    ]
+    return reduce(DataFrame.unionByName, [*facts_of, calendar, *histories])
+
+
 # --- streaming ------------------------------------------------------------------------
 
 

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.operators import dimensions, facts, quality, scd2
 from tripmart.operators.standardize import split_valid, standard_trips, std_columns
 from tripmart.plans import monitoring, warehouse
+from tripmart.runtime import broadcast_if_small, counted, file_system, rows_seen
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot, snapshot_exists
-from tripmart.sinks.writers import append_rejects, append_rows, land_raw, write_zone
-from tripmart.sources.readers import read_optional, read_reference, read_trips
+from tripmart.sinks.writers import append_run, land_raw, write_zone
+from tripmart.sources.readers import read_optional, read_trips
 
-STEPS = ("land", "etl", "quality", "gate", "transform", "history", "warehouse")
+STEPS = ("land", "etl", "quality", "gate", "transform", "history", "warehouse", "rejects")
+# Keeps the partition value a text, whatever the run's id looks like.
+BATCH = "b-"
 
 
 @dataclass
@@ -36,80 +39,121 @@ class RunReport:
         )
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with a row count that is taken while it is written."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def _masters(spark: SparkSession, base: str, run_id: str) -> None:
+    """Processed masters from this batch's files; without new ones they stay."""
+    for source, schema, renames in (
+        ("taxi_zones", schemas.ZONE_CSV, schemas.ZONE_RENAMES),
+        ("vendors", schemas.VENDOR_CSV, {}),
+    ):
+        landed = f"{base}/raw/{source}/batch={run_id}"
+        fs, path = file_system(spark, landed)
+        if fs.exists(path):
+            rows = read_trips(spark, landed).drop("_landed_from")
+            typed = rows.select(
+                *[
+                    F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                    for f in schema
+                    if f.name in rows.columns
+                ]
+            )
+            write_zone(std_columns(typed, renames), f"{base}/processed/{source}")
 
 
-def etl(spark: SparkSession, base: str, run_id: str, run_ts: str) -> tuple[int, int]:
-    """Raw to processed and curated; numbers of valid and rejected trips."""
-    trips = standard_trips(read_trips(spark, f"{base}/raw/yellow_taxi/batch={run_id}"))
-    zones = std_columns(
-        read_reference(spark, f"{base}/raw/taxi_zones/batch={run_id}", schemas.ZONE_CSV),
-        schemas.ZONE_RENAMES,
+def touched_dates(spark: SparkSession, base: str, run_id: str) -> DataFrame:
+    """The pickup dates of this batch's valid trips."""
+    return (
+        spark.read.parquet(f"{base}/processed/yellow_taxi")
+        .filter(F.col("batch") == F.lit(BATCH + run_id))
+        .select(F.to_date("pickup_datetime").alias("pickup_date"))
+        .distinct()
     )
-    vendors = read_reference(spark, f"{base}/raw/vendors/batch={run_id}", schemas.VENDOR_CSV)
+
+
+def etl(spark: SparkSession, base: str, run_id: str, run_ts: str) -> tuple[int, int]:
+    """Raw to processed and curated; numbers of valid and rejected trips of the batch.
+
+    Trips are kept by batch, and a batch that runs again replaces itself. Of the fact only
+    the dates of this batch are built anew, from the trips of all batches.
+    """
+    trips = standard_trips(
+        read_trips(spark, f"{base}/raw/yellow_taxi/batch={run_id}").drop("_landed_from")
+    ).withColumn("batch", F.lit(BATCH + run_id))
     valid, rejected = split_valid(trips)
-    valid, seen_valid = _counted(valid, f"valid {run_id}")
-    write_zone(valid, f"{base}/processed/yellow_taxi")
-    rejects = f"{base}/processed/rejected/yellow_taxi"
-    n_rejected = 0
-    if append_rejects(rejected, rejects, run_ts):
-        at_run = F.col("_rejected_at") == F.lit(run_ts).cast("timestamp")
-        n_rejected = spark.read.parquet(rejects).filter(at_run).count()
-    write_zone(zones, f"{base}/processed/taxi_zones")
-    write_zone(vendors, f"{base}/processed/vendors")
+    valid, seen_valid = counted(valid, "valid")
+    rejected, seen_rejected = counted(rejected, "rejected")
+    processed = f"{base}/processed/yellow_taxi"
+    write_zone(valid, processed, ("batch",), only_touched=True)
+    write_zone(
+        rejected.withColumn("_rejected_at", F.lit(run_ts).cast("timestamp")),
+        f"{base}/processed/rejected/yellow_taxi",
+        ("batch",),
+        only_touched=True,
+    )
+    _masters(spark, base, run_id)
 
     # From here on the written tables are read, so nothing is computed twice.
-    trips = spark.read.parquet(f"{base}/processed/yellow_taxi")
     zones = spark.read.parquet(f"{base}/processed/taxi_zones")
     vendors = spark.read.parquet(f"{base}/processed/vendors")
     write_zone(dimensions.dim_zone(zones), f"{base}/curated/dim_zone")
     write_zone(dimensions.dim_vendor(vendors), f"{base}/curated/dim_vendor")
     zones = spark.read.parquet(f"{base}/curated/dim_zone")
     vendors = spark.read.parquet(f"{base}/curated/dim_vendor")
+    dates = touched_dates(spark, base, run_id)
+    day = F.to_date("pickup_datetime") == F.col("pickup_date")
+    trips = (
+        spark.read.option("mergeSchema", True)
+        .parquet(processed)
+        .drop("batch")
+        .join(broadcast_if_small(dates), day, "left_semi")
+    )
     write_zone(
-        facts.build_fact(trips, zones, vendors), f"{base}/curated/fact_trip", ("pickup_date",)
+        facts.build_fact(trips, zones, vendors),
+        f"{base}/curated/fact_trip",
+        ("pickup_date",),
+        only_touched=True,
     )
     fact = spark.read.parquet(f"{base}/curated/fact_trip")
     write_zone(dimensions.dim_date(fact), f"{base}/curated/dim_date")
-    return seen_valid.get["rows"], n_rejected
+    return rows_seen(seen_valid), rows_seen(seen_rejected)
 
 
 def check(
     spark: SparkSession, base: str, run_id: str, run_ts: str, threshold: float
 ) -> DataFrame:
-    """Judge the processed trips and append results and summary; the run's summary."""
+    """Judge the batch's valid trips, keep results and summary; the run's summary."""
     trips = read_optional(spark, f"{base}/processed/yellow_taxi")
     if trips is None:
         raise FileNotFoundError("no processed trips, the ETL must run first")
     results = quality.dq_results(
-        trips,
+        trips.filter(F.col("batch") == F.lit(BATCH + run_id)).drop("batch"),
         read_optional(spark, f"{base}/processed/taxi_zones"),
         read_optional(spark, f"{base}/processed/vendors"),
         run_id,
         run_ts,
     )
-    append_rows(results, f"{base}/curated/dq_results")
+    append_run(results, f"{base}/curated/dq_results", run_id)
     stored = spark.read.parquet(f"{base}/curated/dq_results").filter(F.col("run_id") == run_id)
-    append_rows(quality.dq_run_summary(stored, threshold), f"{base}/master/dq_run_summary")
+    summary = quality.dq_run_summary(stored, threshold)
+    append_run(summary, f"{base}/master/dq_run_summary", run_id)
     return spark.read.parquet(f"{base}/master/dq_run_summary").filter(F.col("run_id") == run_id)
 
 
-def transform(spark: SparkSession, base: str) -> None:
-    """The enriched fact and the SQL variant of the calendar."""
+def transform(spark: SparkSession, base: str, dates: DataFrame) -> int:
+    """The enriched fact of these dates, and the SQL variant of the calendar."""
     fact = spark.read.parquet(f"{base}/curated/fact_trip")
-    write_zone(
+    enriched, seen = counted(
         facts.enrich_fact(
-            fact,
+            fact.join(broadcast_if_small(dates), "pickup_date", "left_semi"),
             spark.read.parquet(f"{base}/curated/dim_zone"),
             spark.read.parquet(f"{base}/curated/dim_vendor"),
         ),
-        f"{base}/curated/fact_trip_enriched",
-        ("pickup_date",),
+        "enriched",
+    )
+    write_zone(
+        enriched, f"{base}/curated/fact_trip_enriched", ("pickup_date",), only_touched=True
     )
     write_zone(dimensions.dim_date_numbered(fact), f"{base}/curated/dim_date_sql")
+    return rows_seen(seen)
 
 
 def version_master(spark: SparkSession, base: str, now: str) -> dict[str, DataFrame]:
@@ -128,7 +172,11 @@ def version_master(spark: SparkSession, base: str, now: str) -> dict[str, DataFr
             domain.history_attrs,
             now,
         )
-        publish_snapshot(scd2.with_surrogate_keys(merged, domain.history_attrs), dest)
+        publish_snapshot(
+            scd2.with_surrogate_keys(merged, domain.history_attrs),
+            dest,
+            partition_by=("is_current",),
+        )
         histories[table] = read_snapshot(spark, dest)
     return histories
 
@@ -153,35 +201,44 @@ def run_batch(
 ) -> RunReport:
     """Land, standardise, judge, enrich, version and load one batch.
 
-    A failed quality gate ends the run; what follows is reported as skipped.
+    What earlier batches brought stays. A failed quality gate ends the run; what
+    follows is reported as skipped. Every step reports rows: landed, valid, rejected,
+    failed rules, enriched, versions, and rows in the warehouse; rows that the
+    warehouse refuses are a step of their own. A run that broke off may run again.
     """
     report = RunReport(run_id)
-    for source in ("yellow_taxi", "taxi_zones", "vendors"):
+    landed = sum(
         land_raw(spark, base, source, run_id)
-    report.add("land", 3)
+        for source in ("yellow_taxi", "taxi_zones", "vendors")
+    )
+    report.add("land", landed)
     valid, rejected = etl(spark, base, run_id, run_ts)
     report.add("etl", valid)
     summary = check(spark, base, run_id, run_ts, threshold)
     report.add("quality", rejected)
+    failed = summary.select("failed_rule_count").first()[0]
     try:
         quality.dq_gate(summary)
     except quality.QualityGateError as failure:
         report.error = str(failure)
-        report.add("gate", 0, "failed")
+        report.add("gate", failed, "failed")
         for step in STEPS[4:]:
             report.add(step, 0, "skipped")
         return report
-    report.add("gate", 1)
-    transform(spark, base)
-    report.add("transform", 2)
-    version_master(spark, base, run_ts)
-    report.add("history", 2)
+    report.add("gate", failed)
+    dates = touched_dates(spark, base, run_id)
+    report.add("transform", transform(spark, base, dates))
+    histories = version_master(spark, base, run_ts)
+    report.add("history", sum(h.count() for h in histories.values()))
     tables = warehouse_inputs(spark, base)
-    warehouse.load(tables, base)
+    refused = sum(warehouse.load(tables, base, dates).values())
     counts = warehouse.load_counts(
         {name: spark.read.parquet(f"{base}/warehouse/{name}") for name in tables}
     )
     report.add("warehouse", sum(row.rows for row in counts.collect()))
+    report.add("rejects", refused, "failed" if refused else "done")
+    if refused:
+        report.error = f"the warehouse refused {refused} rows, see warehouse/_rejects"
     return report
 
 

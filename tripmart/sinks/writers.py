@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart import schemas
+from tripmart.runtime import counted, file_system, fresh_folder, rows_seen
 from tripmart.sources.landing import incoming_manifest
 
 
@@ -14,14 +18,18 @@ def write_zone(
     partition_by: tuple[str, ...] = (),
     fmt: str = "parquet",
     only_touched: bool = False,
+    sort_by: tuple[str, ...] = (),
 ) -> None:
     """Overwrite a dataset, or with ``only_touched`` just the partitions in ``df``.
 
     Rows are gathered by partition value first, so a task writes few folders
     rather than all; the rebalance splits a value that holds much of the data.
+    ``sort_by`` orders the rows of each file.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort_by:
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -44,36 +52,98 @@ def append_rows(df: DataFrame, dest: str) -> None:
     df.write.mode("append").parquet(dest)
 
 
-def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> str:
-    """Mirror the valid incoming files of one source into ``raw/<source>/batch=<id>``.
+def append_run(df: DataFrame, dest: str, run_id: str) -> None:
+    """Append the rows of a run unless they are there from an attempt before."""
+    spark = df.sparkSession
+    fs, path = file_system(spark, dest)
+    if fs.exists(path):
+        known = spark.read.schema(df.schema).parquet(dest).filter(F.col("run_id") == run_id)
+        if not known.isEmpty():
+            return
+    append_rows(df, dest)
+
+
+def _landing_log(spark: SparkSession, base: str, source: str) -> DataFrame:
+    """Files that earlier batches have landed."""
+    schema = "batch string, raw_key string, length bigint, modification_time timestamp"
+    log = f"{base}/raw/_landed/{source}"
+    fs, path = file_system(spark, log)
+    if not fs.exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(log)
 
-    A batch is written once; running it again fails instead of overwriting. The
-    manifest is a listing, so the paths handed over are small; csv and json rows
-    are kept as text, parquet rows with their schema.
+
+def _csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Csv files whose headers may differ in names and order, united by name.
+
+    The first line of every file is found in one pass; files with the same
+    header are read together, and there are few different headers.
     """
-    folder = f"{base}/incoming/{source}"
-    files = [
-        row.path
-        for row in incoming_manifest(spark, base)
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
+        "value",
+    )
+    firsts = lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
+    groups: dict[str, list[str]] = {}
+    for row in firsts:
+        groups.setdefault(row.header, []).append(row.path)
+    parts = [
+        spark.read.option("header", True).option("enforceSchema", False).csv(groups[header])
+        for header in sorted(groups)
+    ]
+    parts = [p.withColumn("_landed_from", F.col("_metadata.file_path")) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
+    """Copy the new valid files of one source into ``raw/<source>/batch=<id>``.
+
+    New are files that no earlier batch has landed in the same length and time. Each
+    kind of file has a folder; columns are matched by name, and ``_landed_from`` says
+    below ``incoming`` which file a row is from. A batch that is landed again is
+    left as it is, one that broke off is written anew. Returns the rows landed.
+    """
+    log = _landing_log(spark, base, source)
+    if not log.filter(F.col("batch") == batch_id).isEmpty():
+        return 0
+    # A listing has one row a file, as has any plan that scans them.
+    files = parked_listing(
+        incoming_manifest(spark, base)
         .filter("valid")
         .filter(F.col("raw_key").startswith(f"raw/{source}/"))
-        .select("path")
-        .toLocalIterator()
-    ]
-    if not files:
-        raise FileNotFoundError(f"no valid files below {folder}")
-    target = f"{base}/raw/{source}/batch={batch_id}"
-    kinds = sorted({path.rsplit(".", 1)[-1].lower() for path in files})
-    for kind in kinds:
-        chosen = [path for path in files if path.lower().endswith("." + kind)]
-        if kind == "parquet":
-            rows = spark.read.parquet(*chosen)
-            rows.write.mode("errorifexists").parquet(f"{target}/{kind}")
-        elif kind == "csv":
-            rows = spark.read.option("header", True).csv(chosen)
-            rows.write.mode("errorifexists").option("header", True).csv(f"{target}/{kind}")
+        .join(log, ["raw_key", "length", "modification_time"], "left_anti")
+    )
+    paths = [row.path for row in files.select("path").toLocalIterator()]
+    target, landed = f"{base}/raw/{source}/batch={batch_id}", 0
+    root = f"{base}/incoming/".split("://")[-1].split(":")[-1]
+    inside = F.regexp_replace("_landed_from", r"^.*?\Q" + root + r"\E", "")
+    for kind in schemas.LANDING_EXTENSIONS:
+        chosen = [path for path in paths if path.lower().endswith("." + kind)]
+        if not chosen:
+            continue
+        if kind == "csv":
+            rows = _csv_by_name(spark, chosen)
         else:
-            spark.read.text(chosen).write.mode("errorifexists").text(f"{target}/{kind}")
-    return target
+            reader = spark.read.option("mergeSchema", True).option("primitivesAsString", True)
+            rows = (reader.parquet if kind == "parquet" else reader.json)(
+                *chosen if kind == "parquet" else [chosen]
+            ).withColumn("_landed_from", F.col("_metadata.file_path"))
+        rows, seen = counted(rows.withColumn("_landed_from", inside), kind)
+        rows.write.mode("overwrite").option("header", True).format(kind).save(f"{target}/{kind}")
+        landed += rows_seen(seen)
+    if paths:
+        append_rows(
+            files.select(
+                F.lit(batch_id).alias("batch"), "raw_key", "length", "modification_time"
+            ),
+            f"{base}/raw/_landed/{source}",
+        )
+    return landed
 
 
+def parked_listing(files: DataFrame) -> DataFrame:
+    """The listing as it is now, in the shared folder: files may arrive meanwhile."""
+    path = f"{fresh_folder(files.sparkSession, 'listing')}/files"
+    files.write.parquet(path)
+    return files.sparkSession.read.schema(files.schema).parquet(path)

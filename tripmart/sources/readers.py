@@ -22,6 +22,11 @@ def _has_files(spark: SparkSession, path: str, extension: str) -> bool:
     return False
 
 
+def any_case(extension: str) -> str:
+    """A glob for files of an extension in any letter case."""
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
+
+
 def _csv_with_header(
     spark: SparkSession, path: str, schema: T.StructType | None
 ) -> DataFrame:
@@ -29,7 +34,7 @@ def _csv_with_header(
     reader = (
         spark.read.option("header", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", any_case("csv"))
     )
     if schema is None:
         schema = reader.csv(path).schema
@@ -39,41 +44,54 @@ def _csv_with_header(
 def read_trips(
     spark: SparkSession, path: str, csv_schema: T.StructType | None = None
 ) -> DataFrame:
-    """Landed trips: parquet and csv files below ``path``, told apart by extension.
+    """Landed trips: parquet, csv and json files below ``path``, told apart by extension.
 
-    Csv columns stay text unless a schema is given: they are cast afterwards, so
-    a bad value becomes NULL in one column instead of spoiling its row. Where
-    both kinds lie side by side they are united by column name; columns that
-    only one kind has are NULL in the other.
+    Csv and json columns stay text unless a schema is given: they are cast
+    afterwards, so a bad value becomes NULL in one column instead of spoiling its
+    row. Where kinds lie side by side they are united by column name; columns that
+    one kind lacks are NULL there.
     """
     kinds = []
     if _has_files(spark, path, "parquet"):
         kinds.append(
             spark.read.option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
+            .option("pathGlobFilter", any_case("parquet"))
+            .option("mergeSchema", True)
             .parquet(path)
         )
     if _has_files(spark, path, "csv"):
         kinds.append(_csv_with_header(spark, path, csv_schema))
+    if _has_files(spark, path, "json"):
+        kinds.append(
+            spark.read.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", any_case("json"))
+            .option("primitivesAsString", True)
+            .json(path)
+        )
     if not kinds:
-        raise FileNotFoundError(f"no parquet or csv trips below {path}")
-    if len(kinds) == 1:
-        return kinds[0]
-    parquet, csv = kinds
-    renames = {name.lower(): name for name in parquet.columns}
+        raise FileNotFoundError(f"no parquet, csv or json trips below {path}")
+    trips = kinds[0]
+    for other in kinds[1:]:
+        trips = _united(trips, other)
+    return trips
+
+
+def _united(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Both by column name in any case, the second with the types of the first."""
+    renames = {name.lower(): name for name in first.columns}
     for source, target in schemas.TRIP_RENAMES.items():
-        if source in parquet.columns:
+        if source in first.columns:
             renames[target] = source
-    csv = csv.toDF(*[renames.get(name.lower(), name) for name in csv.columns])
-    typed = csv.selectExpr(
+    second = second.toDF(*[renames.get(name.lower(), name) for name in second.columns])
+    typed = second.selectExpr(
         *[
-            f"try_cast(`{name}` AS {parquet.schema[name].dataType.simpleString()}) AS `{name}`"
-            if name in parquet.columns
+            f"try_cast(`{name}` AS {first.schema[name].dataType.simpleString()}) AS `{name}`"
+            if name in first.columns
             else f"`{name}`"
-            for name in csv.columns
+            for name in second.columns
         ]
     )
-    return parquet.unionByName(typed, allowMissingColumns=True)
+    return first.unionByName(typed, allowMissingColumns=True)
 
 
 def read_reference(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
