@@ -109,15 +109,6 @@ def surviving(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return alive, matches[alive]
 
 
-def linked(left: str | None, right: str | None, percent: int = PERCENT) -> bool:
-    """Whether two texts are linked, on their full shingle sets."""
-    a, b = shingle_set(left), shingle_set(right)
-    if not len(a) or not len(b):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= percent * (len(a) + len(b) - both)
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
