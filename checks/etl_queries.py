@@ -22,6 +22,7 @@ from tripmart.plans import analytics
 from tripmart.runtime import fresh_folder
 from tripmart.schemas import TRIP_RENAMES, TRIP_TYPES
 from tripmart.sinks.writers import append_rejects, land_raw, write_zone
+from tripmart.sinks.snapshots import publish_snapshot
 from tripmart.sources.landing import drift_profile, incoming_manifest, lake_inventory
 from tripmart.sources.readers import read_optional, read_reference, read_trips, register_catalog
 
@@ -180,10 +181,16 @@ def _(t: Tables) -> DataFrame:
     ("fact", "vendors"),
     """SELECT 'curated' AS zone, count(*) AS rows,
               CAST(count(DISTINCT strftime(pickup_date, '%Y-%m')) AS BIGINT) AS partitions FROM fact
-       UNION ALL SELECT 'processed', count(*), 0 FROM vendors""",
+       UNION ALL SELECT 'processed', count(*), 0 FROM vendors
+       UNION ALL SELECT 'raw', count(*), 1 FROM vendors
+       UNION ALL SELECT 'master', count(*), 0 FROM vendors""",
 )
 def _(t: Tables) -> DataFrame:
+    """Parquet and csv files, and a snapshot of which the second version is live."""
     base = fresh_folder(t.spark, "inventory")
+    t.vendors().write.option("header", True).csv(f"{base}/raw/vendors/batch=1")
+    for _ in range(2):
+        publish_snapshot(t.vendors(), f"{base}/master/dim_vendor_scd2")
     by_month = fact(t).withColumn("month", F.date_format("pickup_date", "yyyy-MM"))
     write_zone(by_month, f"{base}/curated/fact_trip", ("month",))
     write_zone(t.vendors(), f"{base}/processed/vendors")

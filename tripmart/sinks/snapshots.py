@@ -60,6 +60,12 @@ def snapshot_exists(spark: SparkSession, dest: str) -> bool:
     return _current(spark, dest) is not None
 
 
+def snapshot_folder(spark: SparkSession, dest: str) -> str | None:
+    """The folder of the current version below ``dest``."""
+    marker = _current(spark, dest)
+    return marker["folder"] if marker else None
+
+
 def snapshot_tag(spark: SparkSession, dest: str) -> str | None:
     """The tag of the current version, from its writer or one before."""
     marker = _current(spark, dest)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.runtime import file_system
+from tripmart.runtime import any_case, file_system
+from tripmart.sinks.snapshots import snapshot_folder
 
 
 def _file_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -101,16 +104,57 @@ def drift_profile(df: DataFrame, expected: T.StructType) -> DataFrame:
     return drift.join(counts, "column", "left")
 
 
+def _live(spark: SparkSession, base: str, relative: Column) -> Column:
+    """Whether a file counts: all but those of versions that a snapshot has left behind."""
+    live = F.lit(True)
+    for folder in schemas.SNAPSHOTS.values():
+        current = snapshot_folder(spark, f"{base}/{folder}")
+        if current is not None:
+            of_table = F.startswith(relative, F.lit(f"{folder}/"))
+            live = live & (~of_table | F.startswith(relative, F.lit(f"{folder}/{current}/")))
+    return live
+
+
+def _rows_by_zone(spark: SparkSession, base: str) -> DataFrame:
+    """Rows of all live files by zone.
+
+    Parquet rows come from the footers: a count without columns reads no column data.
+    Csv files have a line each and a header, json files a line each.
+    """
+    relative = _below(F.col("_metadata.file_path"), base)
+    zone = F.split(relative, "/")[0].alias("zone")
+    kinds = []
+    for kind in schemas.LANDING_EXTENSIONS:
+        reader = spark.read.option("recursiveFileLookup", True).option(
+            "pathGlobFilter", any_case(kind)
+        )
+        if kind == "parquet":
+            rows = reader.schema("_none string").parquet(base)
+        else:
+            rows = reader.text(base)
+        per_file = (
+            rows.filter(_live(spark, base, relative))
+            .groupBy(zone, F.col("_metadata.file_path").alias("file"))
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        header = 1 if kind == "csv" else 0
+        kinds.append(per_file.groupBy("zone").agg(F.sum(F.col("n") - header).alias("rows")))
+    return reduce(DataFrame.unionByName, kinds).groupBy("zone").agg(F.sum("rows").alias("rows"))
+
+
 def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
     """Files, bytes, rows, partitions and last change of each zone of the lake.
 
-    Row counts come from the parquet footers: a count without columns reads no
-    column data.
+    Parquet, csv and json files count, of snapshots only the current version.
     """
+    relative = _below(F.col("path"), base)
     listing = (
         _file_listing(spark, base)
-        .filter(F.col("path").endswith(".parquet"))
-        .withColumn("relative", _below(F.col("path"), base))
+        .filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*schemas.LANDING_EXTENSIONS))
+        .withColumn("relative", relative)
+        .filter(_live(spark, base, F.col("relative")))
+        # The folder of a version is no partition.
+        .withColumn("relative", F.regexp_replace("relative", r"/v=\d+-[0-9a-f]+/", "/"))
     )
     files = listing.groupBy(F.split("relative", "/")[0].alias("zone")).agg(
         F.count(F.lit(1)).alias("files"),
@@ -123,23 +167,11 @@ def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
             "plain"
         ),
     )
-    names = [row.zone for row in files.select("zone").collect()]
-    rows = None
-    for zone in sorted(names):
-        counted = (
-            spark.read.option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .schema("_none string")
-            .parquet(f"{base}/{zone}")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("zone", F.lit(zone))
-        )
-        rows = counted if rows is None else rows.unionByName(counted)
-    return files.join(rows, "zone").select(
+    return files.join(_rows_by_zone(spark, base), "zone", "left").select(
         "zone",
         "files",
         "bytes",
-        "rows",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
         "last_update",
         (F.col("folders") - F.col("plain")).alias("partitions"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.runtime import file_system
+from tripmart.runtime import any_case, file_system
 from tripmart.sinks.snapshots import read_snapshot, snapshot_exists
 
 
@@ -22,11 +22,6 @@ def _has_files(spark: SparkSession, path: str, extension: str) -> bool:
     return False
 
 
-def any_case(extension: str) -> str:
-    """A glob for files of an extension in any letter case."""
-    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
-
-
 def _csv_with_header(
     spark: SparkSession, path: str, schema: T.StructType | None
 ) -> DataFrame:
