@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tripmart.llm import language_id, quality_crf, toxicity
-from tripmart.llm.common import Known
+from tripmart.llm.common import Known, Measured
 
 from .conftest import DOCS
 
@@ -158,3 +158,8 @@ def test_known_forgets():
     assert [known[b"a"], known[b"bb"], known[b"a"], known[b"ccc"]] == [0, 1, 0, 2]
     known.begin_batch()
     assert known.rows == [] and known[b"ccc"] == 0
+    measured = Measured(lambda part: (len(part), 0.5), 2, most=2)
+    assert [measured[b"a"], measured[b"bb"], measured[b"ccc"]] == [0, 1, 2]
+    assert measured.table().tolist() == [[1, 0.5], [2, 0.5], [3, 0.5]]
+    measured.begin_batch()
+    assert measured[b"ccc"] == 0 and measured.table().tolist() == [[3, 0.5]]

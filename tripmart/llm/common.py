@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from array import array
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,25 +42,42 @@ def fold(key: Column, parts: int) -> Column:
 
 
 class Known(dict):
-    """Codes of the byte strings met so far, with a row of numbers for each.
+    """Codes of the byte strings met so far, and what ``describe`` says of each.
 
-    ``describe`` gives the row of a string that is new. What is known is forgotten between
-    batches once it is more than ``most`` strings, so memory is bounded.
+    What is known is forgotten between batches once it is more than ``most`` strings, so
+    memory is bounded.
     """
 
-    def __init__(self, describe, most: int = 400_000) -> None:
+    def __init__(self, describe, most: int = 200_000) -> None:
         super().__init__()
         self.describe, self.most, self.rows = describe, most, []
 
     def __missing__(self, part: bytes) -> int:
-        self[part] = code = len(self.rows)
+        self[part] = code = len(self)
         self.rows.append(self.describe(part))
         return code
 
     def begin_batch(self) -> None:
-        if len(self.rows) > self.most:
+        if len(self) > self.most:
             self.clear()
-            self.rows.clear()
+            del self.rows[:]
+
+
+class Measured(Known):
+    """Known strings with ``width`` numbers for each, packed."""
+
+    def __init__(self, describe, width: int, most: int = 200_000) -> None:
+        super().__init__(describe, most)
+        self.width, self.rows = width, array("f")
+
+    def __missing__(self, part: bytes) -> int:
+        self[part] = code = len(self)
+        self.rows.extend(self.describe(part))
+        return code
+
+    def table(self) -> np.ndarray:
+        """A row of numbers by code."""
+        return np.array(self.rows, np.float32).reshape(-1, self.width)
 
 
 def utf8(value) -> bytes:

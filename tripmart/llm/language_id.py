@@ -30,6 +30,7 @@ ROUNDS = 3
 SMOOTHING = 0.1
 LONGEST = 8  # characters of a piece; longer ones are sums of shorter ones
 CUT = 24  # characters scored at once: a longer word is scored in stretches, none is left out
+SLICE = 1000  # texts at once
 UNKNOWN = 0  # a single character that the vocabulary lacks
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGIN = "▁"  # marks the beginning of a word in the vocabulary
@@ -145,12 +146,12 @@ class LanguageModel:
             known = Known(lambda part: part)
             scores = np.zeros((0, len(languages) + 1))
             for batch in batches:
-                if len(known.rows) > known.most:
-                    scores = scores[:0]
-                known.begin_batch()
                 names, chances = [], []
-                for at in range(0, batch.num_rows, 2000):
-                    part = batch.column(1).slice(at, 2000)
+                for at in range(0, batch.num_rows, SLICE):
+                    part = batch.column(1).slice(at, SLICE)
+                    if len(known) > known.most:
+                        scores = scores[:0]
+                    known.begin_batch()
                     codes = [np.array([known[s] for s in utf8(t).split()], np.int64) for t in part]
                     fresh = known.rows[len(scores) :]
                     scores = np.vstack([scores, _stretch_scores(fresh, vocabulary, chance)])

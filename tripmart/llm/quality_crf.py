@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Known, fold, parked, utf8
+from tripmart.llm.common import Measured, fold, parked, utf8
 
 TRAIN_ROWS = 6_000
 TRAIN_PARTS = 6
@@ -28,6 +28,8 @@ ROUNDS, STEPS = 3, 60
 RATE, DECAY = 0.1, 1e-3
 
 WORDLIKE = re.compile(r"\W*[^\W\d_]+(?:['’-][^\W\d_]+)*\W*\Z")
+NUMBERS = 8  # of a stretch between white space
+SLICE = 1000  # texts at once
 OWN = 11  # features of a line by itself
 NEIGHBOUR = 7  # of these, the first ones are also taken from the lines next to it
 FEATURES = OWN + 2 * NEIGHBOUR + 3
@@ -58,7 +60,7 @@ def line_features(lines: list[np.ndarray], ends: list[bool], numbers: np.ndarray
         if not n:
             own[i, OWN - 1] = 1.0
             continue
-        total = numbers[codes].sum(axis=0)
+        total = numbers[codes].sum(axis=0, dtype=np.float64)
         same = float((codes[1:] == codes[:-1]).sum()) / n
         own[i] = (
             total[2] / n,
@@ -80,7 +82,7 @@ def line_features(lines: list[np.ndarray], ends: list[bool], numbers: np.ndarray
     return np.hstack([own, np.vstack([none, near[:-1]]), np.vstack([near[1:], none]), edge])
 
 
-def text_lines(text: bytes, known: Known) -> tuple[list[np.ndarray], list[bool], np.ndarray]:
+def text_lines(text: bytes, known: Measured) -> tuple[list[np.ndarray], list[bool], np.ndarray]:
     """Codes, sentence ends and lengths of a text's lines; an empty text has one line."""
     lines = text.split(b"\n")
     codes = [np.array([known[s] for s in line.split()], np.int64) for line in lines]
@@ -205,14 +207,17 @@ def train(labelled: DataFrame, folds: int = 4, held_out: int = 2) -> tuple[np.nd
         begin = (weights.copy(), step.copy())
 
         def local(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
-            known, parts, labels, counts = Known(describe), [], [], []
-            for batch in batches:
-                found = [text_lines(utf8(text), known) for text in batch.column(1)]
-                numbers = np.array(known.rows).reshape(-1, 8)
-                for label, (lines, ends, _) in zip(batch.column(0).to_pylist(), found):
-                    parts.append(line_features(lines, ends, numbers))
-                    labels.append(label)
-                    counts.append(len(lines))
+            known, parts, labels, counts = Measured(describe, NUMBERS), [], [], []
+            for whole in batches:
+                for at in range(0, whole.num_rows, SLICE):
+                    batch = whole.slice(at, SLICE)
+                    known.begin_batch()
+                    found = [text_lines(utf8(text), known) for text in batch.column(1)]
+                    numbers = known.table()
+                    for label, (lines, ends, _) in zip(batch.column(0).to_pylist(), found):
+                        parts.append(line_features(lines, ends, numbers))
+                        labels.append(label)
+                        counts.append(len(lines))
             if parts:
                 new, moves = fit_locally(
                     *begin, np.vstack(parts), np.array(labels), np.array(counts)
@@ -243,13 +248,13 @@ def score_texts(
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(describe)
+        known = Measured(describe, NUMBERS)
         for batch in batches:
-            known.begin_batch()
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                known.begin_batch()
                 found = [text_lines(utf8(text), known) for text in part.column(1)]
-                numbers = np.array(known.rows).reshape(-1, 8)
+                numbers = known.table()
                 features = np.vstack([line_features(c, e, numbers) for c, e, _ in found])
                 counts = np.array([len(c) for c, _, _ in found])
                 starts, emit = np.cumsum(counts) - counts, features @ weights

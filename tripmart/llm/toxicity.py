@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.common import Known, fold, parked, utf8
+from tripmart.llm.common import Measured, fold, parked, utf8
 
 TRAIN_ROWS = 20_000
 LEXICON = 4_000
@@ -44,7 +44,8 @@ INSULTS = frozenset(
 )
 LETTERS = re.compile(r"[^\W\d_]+")
 DISGUISED = re.compile(r"[^\W\d_][0-9@$!*#%]+[^\W\d_]|([^\W\d_])\1{3,}")
-FEATURES = 12
+FEATURES, NUMBERS = 12, 9  # of a text, of a stretch between white space
+SLICE = 1000  # texts at once
 
 
 def _keys(word: str) -> list[str]:
@@ -141,7 +142,7 @@ def _features(numbers: np.ndarray) -> list[float]:
     n = len(numbers)
     if not n:
         return [0.0] * FEATURES
-    total = numbers.sum(axis=0)
+    total = numbers.sum(axis=0, dtype=np.float64)
     hits = np.flatnonzero((numbers[:, 1] > 0) | (numbers[:, 2] > 0))
     persons = np.flatnonzero(numbers[:, 3])
     near = 0
@@ -151,7 +152,7 @@ def _features(numbers: np.ndarray) -> list[float]:
         right = persons[np.minimum(at, len(persons) - 1)] - hits
         near = int((np.minimum(np.abs(left), np.abs(right)) <= NEAR).sum())
     return [
-        total[0] / n,
+        float(total[0] / n),
         float(numbers[:, 0].max()),
         math.log1p(total[1]),
         total[1] / n,
@@ -179,23 +180,23 @@ def text_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFram
     )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {h: Known(_describer(lexicons[(0, 2, 1)[h]])) for h in (0, 1, 2)}
-        for batch in batches:
-            for k in known.values():
-                k.begin_batch()
-            halves = batch.column(2).to_pylist()
-            codes = []
-            for half, text in zip(halves, batch.column(3)):
-                mine = known[half]
-                codes.append(np.array([mine[s] for s in utf8(text).split()], np.int64))
-            tables = {h: np.array(k.rows, np.float64) for h, k in known.items()}
-            found = [
-                _features(tables[h][c] if len(c) else c) for h, c in zip(halves, codes)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))],
-                ["_id", "other", "features"],
-            )
+        known = {h: Measured(_describer(lexicons[(0, 2, 1)[h]]), NUMBERS) for h in (0, 1, 2)}
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                for k in known.values():
+                    k.begin_batch()
+                halves = batch.column(2).to_pylist()
+                codes = []
+                for half, text in zip(halves, batch.column(3)):
+                    mine = known[half]
+                    codes.append(np.array([mine[s] for s in utf8(text).split()], np.int32))
+                tables = {h: k.table() for h, k in known.items()}
+                found = [_features(tables[h][c]) for h, c in zip(halves, codes)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))],
+                    ["_id", "other", "features"],
+                )
 
     return rows.select("_id", "other", "half", "text").mapInArrow(compute, schema)
 
