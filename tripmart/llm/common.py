@@ -41,6 +41,30 @@ def fold(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % parts
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, most: int
+) -> DataFrame:
+    """``doc_id``, ``text`` and ``label`` of at most ``most`` documents outside a fold.
+
+    The documents are chosen by a hash of the id, from ids and labels alone; the texts of
+    the chosen ones are picked out where they are read.
+    """
+    marked = (
+        labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+        .where(fold(F.col("doc_id"), folds) != held_out)
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("int").alias("label"))
+    )
+    chosen = parked(
+        marked.join(docs.select("doc_id"), "doc_id", "left_semi")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most),
+        "chosen",
+    )
+    # Bounded: at most ``most`` ids.
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+
+
 class Known(dict):
     """Codes of the byte strings met so far, and what ``describe`` says of each.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import Measured, fold, parked, utf8
+from tripmart.llm.common import Measured, fold, labelled_sample, parked, utf8
 
 TRAIN_ROWS = 6_000
 TRAIN_PARTS = 6
@@ -287,12 +287,7 @@ def quality(docs: DataFrame, labels: DataFrame, least: float = 0.7) -> DataFrame
     one, which is a single empty line. Repeated rows get the same score; an empty table
     gives an empty result.
     """
-    marked = (
-        labels.where("doc_id is not null and quality is not null")
-        .groupBy("doc_id")
-        .agg(F.max("quality").alias("label"))
-    )
-    weights, step = train(docs.select("doc_id", "text").join(marked, "doc_id"))
+    weights, step = train(labelled_sample(docs, labels, "quality", 4, 2, TRAIN_ROWS))
     held_out = fold(F.col("doc_id"), 4) == 2
     return score_texts(docs, weights, step).select(
         "doc_id",

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.llm.common import Measured, fold, parked, utf8
+from tripmart.llm.common import Measured, fold, labelled_sample, parked, utf8
 
 TRAIN_ROWS = 20_000
 LEXICON = 4_000
@@ -299,12 +299,7 @@ def train(labelled: DataFrame, folds: int = 5, held_out: int = 0) -> ToxicityMod
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit on the rows of ``docs`` that ``labels`` (doc_id, toxic) covers."""
-    marked = (
-        labels.where("doc_id is not null and toxic is not null")
-        .groupBy("doc_id")
-        .agg(F.max("toxic").alias("label"))
-    )
-    return train(docs.select("doc_id", "text").join(marked, "doc_id"))
+    return train(labelled_sample(docs, labels, "toxic", 5, 0, TRAIN_ROWS))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
