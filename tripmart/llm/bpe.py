@@ -5,8 +5,8 @@ letters, digits or signs at a time: these are the words here. Each task splits i
 documents and writes, for blocks of documents, every document as a list of codes and the
 block's distinct words, dealt to buckets by hash and packed in sorted order. A bucket holds
 its words of all blocks: each is encoded once, and the ids go back to the blocks in the
-same packing. An id-to-piece join spells the ids that a block uses, and both are put at the
-positions of the codes.
+same packing. There the ids are put at the positions of the codes and meet their pieces in
+a map-side join: its small side is the fixed vocabulary, an array with the id as index.
 
 Only packed distinct words and their ids are shuffled, no text and no positions: the lists
 of codes stay in the bucket files they were written to, and a block's words, a bounded
@@ -16,7 +16,6 @@ number, meet them there. A word that every block has is one entry a block, not a
 from __future__ import annotations
 
 import functools
-import json
 import re
 import uuid
 from collections.abc import Iterator
@@ -29,7 +28,7 @@ import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import utf8
@@ -159,18 +158,27 @@ def _bucketed(rows: DataFrame) -> DataFrame:
     return kept
 
 
+@functools.lru_cache(maxsize=2)
+def id_pieces(path: str) -> np.ndarray:
+    """The piece of every id: the small side of the id-to-piece join, of fixed size."""
+    tokenizer = _tokenizer(path)
+    return np.array(
+        [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())], object
+    )
+
+
 def encode_words(words: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """The packed ids of packed words (block, bucket, words), and the ids that they use.
+    """Packed lengths and ids for packed words (block, bucket, words), a row each.
 
-    A row with ``ids`` for each row of words, and rows with an ``id`` for each different
-    one in it. A bucket's rows lie together, and each of its words is encoded once.
+    A bucket's rows lie together, and each of its words is encoded once.
     """
     path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, current, known = _tokenizer(path), None, {}
         for batch in batches:
-            for bucket, block, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            lengths, lists = [], []
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 if bucket != current:
                     current, known = bucket, {}
                 words = zstandard.decompress(packed).decode().split("\n")
@@ -180,93 +188,67 @@ def encode_words(words: DataFrame, vocabulary: str | None = None) -> DataFrame:
                     found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
                     known.update(zip(part, [e.ids for e in found]))
                 ids = [known[w] for w in words]
-                flat = list(chain.from_iterable(ids))
-                used = np.unique(np.array(flat, np.int32))
-                n = len(used)
-                listed = [_compressed(_packed(x)) for x in ([len(i) for i in ids], flat)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * (n + 1), pa.int64()),
-                        pa.array([bucket] + [None] * n, pa.int32()),
-                        pa.array([listed[0]] + [None] * n, pa.binary()),
-                        pa.array([listed[1]] + [None] * n, pa.binary()),
-                        pa.array([None] + used.tolist(), pa.int32()),
-                    ],
-                    ["_block", "bucket", "lengths", "ids", "id"],
-                )
+                lengths.append(_compressed(_packed([len(i) for i in ids])))
+                lists.append(_compressed(_packed(list(chain.from_iterable(ids)))))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1),
+                    batch.column(0),
+                    pa.array(lengths, pa.binary()),
+                    pa.array(lists, pa.binary()),
+                ],
+                ["_block", "bucket", "lengths", "ids"],
+            )
 
     return (
         words.select("bucket", "block", "words")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(
-            encode, "_block bigint, bucket int, lengths binary, ids binary, id int"
-        )
+        .mapInArrow(encode, "_block bigint, bucket int, lengths binary, ids binary")
     )
 
 
-def id_pieces(spark: SparkSession, vocabulary: str | None = None) -> DataFrame:
-    """The vocabulary as a table of ``id`` and ``piece``: a fixed public file of 49,408."""
-    with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
-        content = json.load(file)
-    pieces = {i: p for p, i in content["model"]["vocab"].items()}
-    pieces |= {t["id"]: t["content"] for t in content["added_tokens"]}
-    return spark.createDataFrame(list(pieces.items()), "id int, piece string")
-
+def _unzipped(part: bytes) -> np.ndarray:
+    return _unpacked(zstandard.decompress(part))
 
-def spell(encoded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``encoded`` brought to its blocks, with the ``piece`` of every id that they use."""
-    parts = int(encoded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The fixed vocabulary is broadcast, whatever the corpus.
-    return encoded.repartition(parts, "_block").join(F.broadcast(pieces), "id", "left")
 
-
-def _place(docs: pa.Table, words: pa.Table) -> pa.Table:
+def _placer(path: str):
     """The ids and pieces of a block's words at the positions of its documents' codes."""
 
-    def unpack(part: bytes) -> np.ndarray:
-        return _unpacked(zstandard.decompress(part))
-
-    ids, codes = docs.column("_id"), docs.column("codes")
-    at = pc.is_valid(docs.column("word_order")).to_numpy().argmax()
-    order = unpack(docs.column("word_order")[at].as_py())
-    packed = words.filter(pc.is_valid(words.column("bucket"))).sort_by("bucket")
-    size = len(order)
-    length, begin = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    flat = np.zeros(0, "<u4")
-    if packed.num_rows:
-        # Words are in the order of buckets, as they were dealt.
-        n = np.concatenate([unpack(x) for x in packed.column("lengths").to_pylist()])
-        flat = np.concatenate([unpack(x) for x in packed.column("ids").to_pylist()])
-        length[order] = n
-        begin[order] = np.cumsum(n, dtype=np.int64) - n
-    used = words.filter(pc.is_valid(words.column("id")))
-    names = np.full(1 + max(flat.max(initial=0), 0), "", object)
-    named = used.column("piece").combine_chunks().dictionary_encode()
-    if isinstance(named, pa.ChunkedArray):
-        named = named.combine_chunks()
-    if used.num_rows:
-        spelled = np.array(named.dictionary.to_pylist(), object)
-        names[used.column("id").to_numpy()] = spelled[named.indices.to_numpy()]
-    tokens, texts, keep = [], [], []
-    for row in range(docs.num_rows):
-        if row == at:
-            continue
-        c = _unpacked(codes[row].as_py())
-        n = length[c]  # a word that is dropped whole has none
-        ends = np.cumsum(n)
-        where = np.repeat(begin[c] - ends + n, n) + np.arange(ends[-1] if len(c) else 0)
-        mine = flat[where]
-        keep.append(row)
-        tokens.append(mine.tobytes())
-        texts.append(" ".join(names[mine].tolist()))
-    return pa.table(
-        {
-            "_id": ids.take(pa.array(keep, pa.int64())),
-            "tokens": pa.array(tokens, pa.binary()),
-            "decoded": pa.array(texts, pa.string()),
-        }
-    )
+    def place(docs, words):
+        pieces = id_pieces(path)
+        codes = docs.column("codes")
+        at = pc.is_valid(docs.column("word_order")).to_numpy().argmax()
+        order = _unzipped(docs.column("word_order")[at].as_py())
+        words = words.sort_by("bucket")  # as the words were dealt
+        length, begin = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        flat = np.zeros(0, "<u4")
+        if words.num_rows:
+            n = np.concatenate([_unzipped(x) for x in words.column("lengths").to_pylist()])
+            flat = np.concatenate([_unzipped(x) for x in words.column("ids").to_pylist()])
+            length[order] = n
+            begin[order] = np.cumsum(n, dtype=np.int64) - n
+        tokens, texts, keep = [], [], []
+        for row in range(docs.num_rows):
+            if row == at:
+                continue
+            c = _unpacked(codes[row].as_py())
+            n = length[c]  # a word that is dropped whole has none
+            ends = np.cumsum(n)
+            where = np.repeat(begin[c] - ends + n, n) + np.arange(ends[-1] if len(c) else 0)
+            mine = flat[where]
+            keep.append(row)
+            tokens.append(mine.tobytes())
+            texts.append(" ".join(pieces[mine].tolist()))
+        return pa.table(
+            {
+                "_id": docs.column("_id").take(pa.array(keep, pa.int64())),
+                "tokens": pa.array(tokens, pa.binary()),
+                "decoded": pa.array(texts, pa.string()),
+            }
+        )
+
+    return place
 
 
 def encode_decode(
@@ -293,13 +275,16 @@ def encode_decode(
         )
     )
     words = blocks.where("bucket is not null").select("block", "bucket", "words")
-    spelled = spell(encode_words(words, vocabulary), id_pieces(spark, vocabulary))
+    encoded = encode_words(words, vocabulary)
     return (
         blocks.where("bucket is null")
         .select("block", "_id", "codes", "word_order")
         .groupBy("block")
-        .cogroup(spelled.groupBy("_block"))
-        .applyInArrow(_place, f"_id {id_type}, tokens binary, decoded string")
+        .cogroup(encoded.groupBy("_block"))
+        .applyInArrow(
+            _placer(vocabulary or default_vocabulary()),
+            f"_id {id_type}, tokens binary, decoded string",
+        )
         .withColumnRenamed("_id", id_col)
     )
 
