@@ -186,6 +186,41 @@ def test_vectors(spark):
     assert embedding_dedup.vector_groups(frame.limit(0)).collect() == []
 
 
+def test_filters_find_pairs_at_the_threshold_at_every_size():
+    rng = np.random.default_rng(6)
+    for vectors, count in ((2_000, 2000), (10**6, 2000), (10**7, 200)):
+        bound, words, codes = embedding_dedup.filter_plan(vectors)
+        missed = np.ones(count, bool)
+        left, right = (
+            np.concatenate(x)
+            for x in zip(
+                *(embedding_dedup.random_pairs(64, count // 2, c, rng) for c in (0.9, 0.92))
+            )
+        )
+        for number in range(codes):
+            code = embedding_dedup.Code(64, words, number)
+            open_ = np.flatnonzero(missed)
+            for at in range(0, len(open_), 100):
+                some = open_[at : at + 100]
+                found = zip(code.filters(left[some], bound), code.filters(right[some], bound))
+                missed[some] = [not len(np.intersect1d(a, b)) for a, b in found]
+        assert not missed.any()
+
+
+def test_short_vectors(spark):
+    rng = np.random.default_rng(7)
+    for dim in (2, 3):
+        units = rng.standard_normal((300, dim))
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        frame = spark.createDataFrame(
+            [(i, [float(x) for x in r]) for i, r in enumerate(units)],
+            "vec_id long, embedding array<double>",
+        )
+        want = (units @ units.T >= 0.9).sum(axis=1) - 1
+        got = {r.vec_id: r.n_links for r in embedding_dedup.vector_groups(frame).collect()}
+        assert got == dict(enumerate(want.tolist()))
+
+
 def test_large_filters_are_compared_in_chunks(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = np.ones(12) + rng.standard_normal((90, 12)) * 0.1

@@ -7,11 +7,11 @@ filter's cap. Because the product is a sum over blocks, the filters of a vector
 by decoding, not by trying all: sums of two blocks that no word of the third can lift over
 the bound are cut off. Vectors that share a filter are compared exactly.
 
-The bound follows the number of vectors, so that a filter holds about ``OCCUPANCY``
-unrelated ones, and the number of filters follows the bound, so that a pair at the
-threshold shares no filter with a probability of about ``MISS`` if filters were
-independent. They are not, within a code; so several codes with rotations of their own
-share the number.
+The bound follows the number of vectors and their dimension, so that a filter holds about
+``OCCUPANCY`` unrelated ones. The filters of a code are not independent, but codes, each
+with a rotation of its own, are: how often a pair at the threshold shares no filter of a
+code is measured on random pairs, and there are as many codes as bring the chance that it
+shares none at all below ``MISS``. Many codes of few words need the fewest filters.
 
 A filter's members are compared in chunks of a bounded size. A pair counts in its first
 common filter only, so links are counted without listing them: each chunk gives a number
@@ -20,10 +20,11 @@ per vector and enough links to connect what it found connected.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,29 +35,75 @@ from tripmart.llm.common import parked
 from tripmart.llm.graph import components
 
 THRESHOLD = 0.9
-OCCUPANCY = 32
+OCCUPANCY = 256
 MISS = 1e-8
-CODES = 12  # independent codes share the filters: what one's structure misses another has
+MOST_CODES = 256
+ROTATIONS = 1 << 27  # bytes of all rotations, which bound the codes of long vectors
+WORDS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 40, 48, 64, 80, 96, 128, 160, 192, 256)
+SAMPLE_CODES, SAMPLE_PAIRS = 24, 200  # random pairs that a plan is measured on
 CHUNK = 1024
 BLOCKS = 3
 SEED = 20240611
 
 
-def _shared_mass(bound: float, cosine: float) -> float:
-    """The chance that two vectors at this cosine both exceed the bound in a direction."""
-    normal = NormalDist()
-    steps = np.linspace(bound, bound + 8, 2001)
-    spread = math.sqrt(1 - cosine * cosine)
-    inner = [normal.pdf(x) * (1 - normal.cdf((bound - cosine * x) / spread)) for x in steps]
-    return float(np.trapezoid(inner, steps))
+class Plan(NamedTuple):
+    """Bound of the products, words in a block's code, and number of codes."""
 
+    bound: float
+    words: int
+    codes: int
 
-def filter_plan(vectors: int, threshold: float = THRESHOLD) -> tuple[float, int]:
-    """Bound (in deviations of a random product) and words in a block's code."""
-    single = min(0.05, OCCUPANCY / max(1, vectors))
-    bound = NormalDist().inv_cdf(1 - single)
-    filters = math.log(1 / MISS) / _shared_mass(bound, threshold) / CODES
-    return bound, max(2, math.ceil(filters ** (1 / BLOCKS)))
+
+def _bound(dim: int, single: float) -> float:
+    """What a random direction's product with a word of norm sqrt(dim) exceeds so often."""
+    angles = np.linspace(0, math.pi, 100_001)
+    density = np.sin(angles) ** (dim - 2)
+    mass = np.concatenate([[0.0], np.cumsum(density[1:] + density[:-1])])
+    return math.sqrt(dim) * math.cos(np.interp(single, mass / mass[-1], angles))
+
+
+def random_pairs(dim: int, count: int, cosine: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of random unit vectors at this cosine."""
+    left, side = rng.standard_normal((2, count, dim))
+    left /= np.linalg.norm(left, axis=1, keepdims=True)
+    side -= (left * side).sum(axis=1, keepdims=True) * left
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return left, cosine * left + math.sqrt(1 - cosine * cosine) * side
+
+
+def _code_miss(dim: int, bound: float, words: int, codes: int, threshold: float) -> float:
+    """The share of pairs at the threshold without a common filter in a code, from above."""
+    rng, missed = np.random.default_rng(SEED), 0
+    for number in range(codes):
+        code = Code(dim, words, number)
+        left, right = random_pairs(dim, SAMPLE_PAIRS, threshold, rng)
+        for at in range(0, SAMPLE_PAIRS, 50):
+            pairs = zip(*(code.filters(x[at : at + 50], bound) for x in (left, right)))
+            missed += sum(not len(np.intersect1d(a, b, assume_unique=True)) for a, b in pairs)
+    n = codes * SAMPLE_PAIRS
+    share = (missed + 1) / (n + 1)
+    return share + 2 * math.sqrt(share * (1 - share) / n)
+
+
+@functools.lru_cache(maxsize=64)
+def filter_plan(vectors: int, threshold: float = THRESHOLD, dim: int = 64) -> Plan:
+    """A plan by which a pair at the threshold shares no filter less often than ``MISS``.
+
+    Where no plan within the limits does so, filters are made wider, which costs
+    comparisons but loses nothing; at last one filter holds all.
+    """
+    most = max(12, min(MOST_CODES, ROTATIONS // (8 * dim * dim)))
+    single = min(0.25, OCCUPANCY / max(1, vectors))
+    while dim > 1 and 0 < threshold <= 1 and single < 0.5:
+        bound = _bound(dim, single)
+        # A block of one dimension has two words only.
+        for words in WORDS if dim >= 2 * BLOCKS else WORDS[:1]:
+            miss = _code_miss(dim, bound, words, min(SAMPLE_CODES, most), threshold)
+            codes = math.ceil(math.log(MISS) / math.log(miss)) if miss < 1 else most + 1
+            if codes <= most:
+                return Plan(bound, words, codes)
+        single *= 2
+    return Plan(-math.inf, 1, 1)
 
 
 class Code:
@@ -127,8 +174,8 @@ def _units(packed: list[bytes], kind) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _filter_rows(kind, bound: float, words: int):
-    """A row for each class and filter that it is in, with all its filters along."""
+def _filter_rows(kind, plans: dict[int, Plan], width: str):
+    """A row for each class and filter that it is in, with its filters before that along."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, list[Code]] = {}
@@ -139,16 +186,20 @@ def _filter_rows(kind, bound: float, words: int):
                 by_dim.setdefault(len(p), []).append(i)
             for size, all_rows in by_dim.items():
                 dim = size // np.dtype(kind).itemsize
+                bound, words, many = plans[size]
                 if size not in codes:
-                    codes[size] = [Code(dim, words, number) for number in range(CODES)]
-                for at in range(0, len(all_rows), 128):
-                    some = np.array(all_rows[at : at + 128])
+                    codes[size] = [Code(dim, words, number) for number in range(many)]
+                step = max(16, min(512, (1 << 22) // words**2))
+                for at in range(0, len(all_rows), step):
+                    some = np.array(all_rows[at : at + step])
                     units = _units([packed[i] for i in some], kind)
                     by_code = [code.filters(units, bound) for code in codes[size]]
                     found = [np.concatenate(one) for one in zip(*by_code)]
                     counts = [len(f) for f in found]
                     where = pa.array(np.repeat(some, counts))
-                    lists = [f.astype("<i4").tobytes() for f in found]
+                    lists = [f.astype(width) for f in found]
+                    # Numbers rise along the list, so those before a filter are its start.
+                    earlier = [f[:i].tobytes() for f in lists for i in range(len(f))]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(found).astype(np.int64)),
@@ -156,11 +207,9 @@ def _filter_rows(kind, bound: float, words: int):
                             batch.column(0).take(where),
                             batch.column(1).take(where),
                             batch.column(2).take(where),
-                            pa.array(lists, pa.binary()).take(
-                                pa.array(np.repeat(np.arange(len(some)), counts))
-                            ),
+                            pa.array(earlier, pa.binary()),
                         ],
-                        ["filter", "dim", "cid", "packed", "copies", "filters"],
+                        ["filter", "dim", "cid", "packed", "copies", "earlier"],
                     )
 
     return rows
@@ -181,11 +230,10 @@ def _connecting(adjacent: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare(kind, threshold: float):
+def _compare(kind, threshold: float, width: str):
     """Links among the members of one filter chunk, or between those of two."""
 
     def compare(key, table):
-        number = key[0].as_py()
         cids = table.column("cid").to_numpy()
         units = _units(table.column("packed").to_pylist(), kind)
         weights = table.column("copies").to_numpy()
@@ -198,10 +246,9 @@ def _compare(kind, threshold: float):
         nodes, counts, edges = [], [], []
         if len(some):
             links = links[np.ix_(some, some)]
-            packed = table.column("filters").to_pylist()
-            lists = [np.frombuffer(packed[i], "<i4") for i in some]
+            packed = table.column("earlier").to_pylist()
             # Common filters with a smaller number: there such a pair has been counted.
-            earlier = [x[x < number] for x in lists]
+            earlier = [np.frombuffer(packed[i], width) for i in some]
             known, column = np.unique(np.concatenate(earlier), return_inverse=True)
             member = np.zeros((len(some), len(known)), np.float32)
             member[np.repeat(np.arange(len(some)), [len(x) for x in earlier]), column] = 1
@@ -248,10 +295,14 @@ def vector_groups(
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    bound, words = filter_plan(classes.count(), threshold)
+    sizes = classes.groupBy(F.length("packed").alias("size")).count().collect()
+    item = np.dtype(kind).itemsize
+    plans = {r["size"]: filter_plan(r["count"], threshold, r["size"] // item) for r in sizes}
+    numbers = max((p.codes * p.words**BLOCKS for p in plans.values()), default=0)
+    width = "<i4" if numbers < 1 << 31 else "<i8"
     placed = classes.select("cid", "packed", "copies").mapInArrow(
-        _filter_rows(kind, bound, words),
-        "filter bigint, dim int, cid bigint, packed binary, copies bigint, filters binary",
+        _filter_rows(kind, plans, width),
+        "filter bigint, dim int, cid bigint, packed binary, copies bigint, earlier binary",
     )
     # A filter with many members becomes chunks; each pair of chunks is a group.
     sizes = parked(
@@ -266,11 +317,11 @@ def vector_groups(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumn("lo", F.least("part", "other"))
         .withColumn("hi", F.greatest("part", "other"))
-        .select("filter", "dim", "lo", "hi", "part", "cid", "packed", "copies", "filters")
+        .select("filter", "dim", "lo", "hi", "part", "cid", "packed", "copies", "earlier")
     )
     found = parked(
         grouped.groupBy("filter", "dim", "lo", "hi").applyInArrow(
-            _compare(kind, threshold), "node bigint, links bigint, a bigint, b bigint"
+            _compare(kind, threshold, width), "node bigint, links bigint, a bigint, b bigint"
         ),
         "found",
     )
