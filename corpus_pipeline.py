@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
 from tripmart.llm.common import parked, table
 
+NEAR_PERCENT = 80  # similarity of word shingles from which the stage takes texts as copies
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from the labels, does not reject."""
@@ -24,8 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
-    return near_dedup.drop_near_copies(docs)
+    """One document of each component of near duplicates at 0.8 and more."""
+    return near_dedup.drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

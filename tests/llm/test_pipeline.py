@@ -5,7 +5,7 @@ import struct
 from collections import Counter
 
 import corpus_pipeline
-from tripmart.llm import bpe, toxicity
+from tripmart.llm import bpe, near_dedup, toxicity
 from tripmart.llm.common import parked, table
 
 from .test_dedup import exact_want, near_want
@@ -13,6 +13,26 @@ from .test_dedup import exact_want, near_want
 SMALL = "/root/testdata/sf0.001"
 
 
+def test_near_copies_between_80_and_85_percent_are_dropped(spark):
+    base = [f"w{i}" for i in range(104)]  # 100 shingles, of which a change costs five
+    texts = []
+    for group in range(20):
+        one = [f"g{group}{w}" for w in base]
+        other = list(one)
+        other[20] = other[60] = "new"  # 90 of 110 shingles: 0.818
+        far = list(one)
+        far[20] = far[50] = far[80] = "far"  # 85 of 115: 0.739, to other 80 of 120
+        texts += [one, other, far]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = corpus_pipeline.drop_near_copies(spark, docs, SMALL)
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in rows if i % 3 != 1}
+    assert near_dedup.drop_near_copies(docs).count() == len(rows)  # op8's own threshold
+    for percent in (80, 85):
+        bands, width = near_dedup.band_shape(percent)
+        assert (1 - (percent / 100) ** width) ** bands <= near_dedup.MISS
+
+
 def test_stages(spark):
     docs = table(spark, SMALL, "documents")
     columns, seen = docs.columns, {}

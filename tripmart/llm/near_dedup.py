@@ -1,8 +1,8 @@
 """Near-duplicates by MinHash bands and sequential Bayesian verification.
 
 Texts with the same set of word shingles form one class, so copies cost nothing. Every
-class gets a signature of 150 minima; 25 bands of six minima are keys, and classes that
-share a key are candidates. A pair's signatures are compared in batches of 30: after each
+class gets a signature of 150 minima; bands of them are keys (25 of six minima at 85
+percent, 30 of five at 80), and classes that share a key are candidates. A pair's signatures are compared in batches of 30: after each
 the posterior probability that the similarity reaches the threshold (uniform prior, so a
 beta distribution) is looked at, and the pair is dropped once it is below ``MISS``. What
 survives all 150 is verified on the full texts.
@@ -36,11 +36,10 @@ from tripmart.llm.common import parked
 from tripmart.llm.graph import components
 
 SHINGLE = 5
-BANDS, ROWS = 25, 6
-HASHES = BANDS * ROWS
+HASHES = 150
 BATCH = 30
 MISS = 1e-5
-PERCENT = 85  # a link needs 100 * intersection >= PERCENT * union
+PERCENT = 85  # a link needs 100 * intersection >= percent * union; this is op8's
 STAR_ROUNDS = 2
 STAR_BEST = (2, 16)  # pairs a component verifies, in the turns of a round
 CHUNK_ALL, CHUNK_FEW = 256, 64
@@ -49,7 +48,7 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(20240607)
 _MULTIPLY = _RNG.integers(1, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
 _ADD = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
-_BAND_MIX = _RNG.integers(1, 2**63, ROWS, dtype=np.uint64) | np.uint64(1)
+_BAND_MIX = _RNG.integers(1, 2**63, 6, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -81,6 +80,18 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
+@functools.lru_cache(maxsize=8)
+def band_shape(percent: int = PERCENT) -> tuple[int, int]:
+    """Bands and rows: the longest bands of which a pair at the threshold shares one.
+
+    It shares none with a probability of at most ``MISS``.
+    """
+    for rows in (6, 5, 3, 2):
+        if (1 - (percent / 100) ** rows) ** (HASHES // rows) <= MISS:
+            return HASHES // rows, rows
+    return HASHES, 1
+
+
 @functools.lru_cache(maxsize=8)
 def fewest_matches(percent: int = PERCENT, miss: float = MISS) -> tuple[int, ...]:
     """For 30, 60, ... 150 compared minima: the matches below which a pair is dropped.
@@ -98,11 +109,13 @@ def fewest_matches(percent: int = PERCENT, miss: float = MISS) -> tuple[int, ...
     return tuple(least)
 
 
-def surviving(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def surviving(
+    left: np.ndarray, right: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
     """Positions of the pairs (rows of two matrices) that survive, and their matches."""
     alive = np.arange(len(left))
     matches = np.zeros(len(left), np.int64)
-    for step, least in enumerate(fewest_matches()):
+    for step, least in enumerate(fewest_matches(percent)):
         part = slice(step * BATCH, (step + 1) * BATCH)
         matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
         alive = alive[matches[alive] >= least]
@@ -145,32 +158,37 @@ def _set_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _band_keys(
+    percent: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    bands, rows = band_shape(percent)
     for batch in batches:
         if not batch.num_rows:
             continue
-        minima = _matrix(batch.column(1)).reshape(-1, BANDS, ROWS).astype(np.uint64)
-        keys = np.arange(1, BANDS + 1, dtype=np.uint64) * _PRIME + np.zeros(
+        minima = _matrix(batch.column(1)).reshape(-1, bands, rows).astype(np.uint64)
+        keys = np.arange(1, bands + 1, dtype=np.uint64) * _PRIME + np.zeros(
             (len(minima), 1), np.uint64
         )
-        for row in range(ROWS):
+        for row in range(rows):
             keys = (keys ^ minima[:, :, row]) * _BAND_MIX[row]
             keys ^= keys >> np.uint64(29)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys.view(np.int64).ravel()),
-                pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(minima))),
-                pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)),
+                pa.array(np.tile(np.arange(bands, dtype=np.int32), len(minima))),
+                pa.array(np.repeat(batch.column(0).to_numpy(), bands)),
             ],
             ["key", "band", "cid"],
         )
 
 
-def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prune(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        alive, matches = surviving(_matrix(batch.column(2)), _matrix(batch.column(3)))
+        alive, matches = surviving(
+            _matrix(batch.column(2)), _matrix(batch.column(3)), percent
+        )
         where = pa.array(alive)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(where), batch.column(1).take(where), pa.array(matches)],
@@ -178,7 +196,7 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bucket_links(key, table):
+def _bucket_links(percent: int, key, table):
     """Links of a bucket's lesser components: one chunk of them against one chunk of all.
 
     A pair is looked at in the first band it shares only. For each lesser class one link to
@@ -203,9 +221,11 @@ def _bucket_links(key, table):
     for i in few:
         # Two lesser classes meet once; a main class meets every lesser one.
         other = np.flatnonzero(every & (comp != comp[i]) & (~lesser | (cid > cid[i])))
-        same = (sig[other] == sig[i]).reshape(-1, BANDS, ROWS).all(axis=2)
+        same = (sig[other] == sig[i]).reshape(-1, *band_shape(percent)).all(axis=2)
         other = other[same.argmax(axis=1) == band] if len(other) else other
-        alive, matches = surviving(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other])
+        alive, matches = surviving(
+            np.broadcast_to(sig[i], (len(other), HASHES)), sig[other], percent
+        )
         rest = other[alive[np.argsort(-matches, kind="stable")]]
         take = 8
         while len(rest):
@@ -215,7 +235,7 @@ def _bucket_links(key, table):
             flat = np.concatenate(theirs)
             at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
             both = np.add.reduceat(mine[at] == flat, np.cumsum(size) - size, dtype=np.int64)
-            good = now[100 * both >= PERCENT * (len(mine) + size - both)]
+            good = now[100 * both >= percent * (len(mine) + size - both)]
             for j in good[np.unique(comp[good], return_index=True)[1]]:
                 links.append((int(cid[i]), int(cid[j])))
             rest, take = rest[~np.isin(comp[rest], comp[good])], 256
@@ -227,7 +247,7 @@ def _bucket_links(key, table):
     )
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: tuple[int | None, np.ndarray | None] = (None, None)
     for batch in batches:
         keep = []
@@ -236,7 +256,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 known = (a, shingle_set(left.as_py()))
             one, other = known[1], shingle_set(right.as_py())
             both = len(np.intersect1d(one, other, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(one) + len(other) - both))
+            keep.append(100 * both >= percent * (len(one) + len(other) - both))
         where = pa.array(np.flatnonzero(keep))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(where), batch.column(1).take(where)], ["a", "b"]
@@ -246,10 +266,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Search:
     """Components of classes, grown by verified links until no candidate is left."""
 
-    def __init__(self, classes: DataFrame, docs: DataFrame, text_col: str) -> None:
+    def __init__(
+        self, classes: DataFrame, docs: DataFrame, text_col: str, percent: int = PERCENT
+    ) -> None:
         self.classes = classes
+        self.percent = percent
         keys = classes.select("cid", "sig").mapInArrow(
-            _band_keys, "key bigint, band int, cid bigint"
+            functools.partial(_band_keys, percent), "key bigint, band int, cid bigint"
         )
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         self.buckets = parked(keys.join(shared, "key").select("key", "band", "cid"), "buckets")
@@ -308,7 +331,7 @@ class _Search:
         return pairs.join(sigs.select(F.col("cid").alias("a"), F.col("sig").alias("sig_a")), "a").join(
             sigs.select(F.col("cid").alias("b"), F.col("sig").alias("sig_b")), "b"
         ).select("a", "b", "sig_a", "sig_b").mapInArrow(
-            _prune, "a bigint, b bigint, matches bigint"
+            functools.partial(_prune, self.percent), "a bigint, b bigint, matches bigint"
         )
 
     def remainder(self, mixed: DataFrame) -> DataFrame:
@@ -354,8 +377,9 @@ class _Search:
                 "sig", "text",
             )
         )
+        percent = self.percent  # a grouped function's arguments are counted
         return members.groupBy("key", "fc", "ac").applyInArrow(
-            _bucket_links, "a bigint, b bigint"
+            lambda key, table: _bucket_links(percent, key, table), "a bigint, b bigint"
         )
 
     def verify(self, pairs: DataFrame) -> DataFrame:
@@ -364,7 +388,7 @@ class _Search:
             pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("left")), "a")
             .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("right")), "b")
             .select("a", "b", "left", "right")
-            .mapInArrow(_verify, "a bigint, b bigint")
+            .mapInArrow(functools.partial(_verify, self.percent), "a bigint, b bigint")
         )
 
     def across(self, pool: DataFrame) -> DataFrame:
@@ -425,20 +449,22 @@ class _Search:
         return self.comps
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
 
     A document's set has its distinct shingles of five words, or all its words as one if
-    there are fewer. Documents are linked at a Jaccard similarity of 0.85 and more; the
+    there are fewer. Documents are linked at a Jaccard similarity of ``percent`` and more; the
     component is the smallest id that links reach. A null or empty text has no shingles
     and is linked with nothing. Rows that repeat an id with the same text are one
     document; a null id is a component's only if it has no other. An empty table gives an
     empty result.
     """
-    return _groups(docs, id_col, text_col).drop("_hash")
+    return _groups(docs, id_col, text_col, percent).drop("_hash")
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     rows = docs.select(
         F.col(id_col).alias("_id"),
         F.col(text_col).alias("_text"),
@@ -458,7 +484,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
-    comps = _Search(classes, docs, text_col).run()
+    comps = _Search(classes, docs, text_col, percent).run()
     grouped = classes.select("cid", "set_key", "first_id").join(comps, "cid", "left")
     grouped = parked(
         grouped.select("set_key", "first_id", F.coalesce("comp", "cid").alias("comp")), "grouped"
@@ -476,14 +502,14 @@ def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def drop_near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each component those with the smallest id.
 
     Rows are named by id and hash of the text, so that of rows that share an id but not
     the text each is judged by its own. Rows without an id stay.
     """
-    gone = _groups(docs, id_col, text_col).where("not kept").select(
+    gone = _groups(docs, id_col, text_col, percent).where("not kept").select(
         F.col(id_col).alias("_gone"), "_hash"
     )
     gone = parked(gone.distinct(), "gone")
