@@ -151,7 +151,10 @@ def with_surrogate_keys(
     )
     columns = ["surrogate_key", "natural_key", *attrs, *PERIOD]
     if stable:
-        start = F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss")
+        # A stream's versions may start within a second of each other.
+        whole = F.date_format("valid_from", "yyyy-MM-dd HH:mm:ss")
+        fraction = F.date_format("valid_from", ".SSSSSS")
+        start = F.concat(whole, F.when(fraction != ".000000", fraction).otherwise(""))
         numbered = numbered.withColumn(
             "stable_key",
             F.sha2(F.concat_ws("||", F.col("natural_key").cast("string"), start), 256),
