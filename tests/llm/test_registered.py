@@ -12,7 +12,7 @@ LLM = sorted(n for n in queries() if n.startswith("op") or n == "pipeline")
 
 def test_all_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in LLM if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in LLM
+    assert numbers == list(range(1, 14)) and "pipeline" in LLM
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")

@@ -15,10 +15,12 @@ from tripmart.llm import (
     near_dedup,
     quality_crf,
     secrets_scan,
+    token_files,
     toxicity,
     url_filter,
 )
 from tripmart.llm.common import table
+from tripmart.runtime import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +187,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@register("op13_token_files")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{fresh_folder(spark, 'token-files')}/corpus"
+    token_files.write_tokens(table(spark, folder, "documents"), path)
+    return token_files.read_tokens(spark, path, tokens=False)
