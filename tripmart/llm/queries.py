@@ -10,6 +10,7 @@ from tripmart.llm import (
     bpe,
     embedding_dedup,
     exact_dedup,
+    importance,
     language_id,
     mixing,
     near_dedup,
@@ -189,6 +190,84 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# CRC-32 of a text by its bytes, with a table from the generator polynomial.
+CRC_TABLE_SQL = """
+    crc_table AS MATERIALIZED (
+        SELECT list(v ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1
+                THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, i::BIGINT) AS v
+            FROM range(256) AS r(i)
+        )
+    )
+"""
+
+
+def crc_sql(text: str) -> str:
+    """The CRC-32 of a text, beside the table ``t`` of ``crc_table``."""
+    bytes_ = (
+        f"[('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT "
+        f"FOR i IN range(strlen({text}))]"
+    )
+    return (
+        f"xor(list_reduce({bytes_}, lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), "
+        "4294967295::BIGINT), 4294967295::BIGINT)"
+    )
+
+
+def _words_sql(column: str) -> str:
+    folded = f"translate(coalesce({column}, ''), '{importance.UPPER}', '{importance.LOWER}')"
+    return f"regexp_extract_all({folded}, '{importance.WORD_PATTERN}')"
+
+
+@register(
+    "op11_importance",
+    rf"""
+    WITH {CRC_TABLE_SQL},
+    d AS (SELECT doc_id, {_words_sql("text")} AS words FROM documents),
+    b AS (SELECT unnest({_words_sql("text")}) AS word FROM benchmark),
+    counted AS (SELECT doc_id, unnest(words) AS word FROM d),
+    distinct_words AS (SELECT word FROM counted UNION SELECT word FROM b),
+    hashed AS MATERIALIZED (
+        SELECT word, {crc_sql("word")} % {importance.BUCKETS} AS bucket
+        FROM distinct_words, crc_table
+    ),
+    s AS (SELECT bucket, count(*) AS s FROM counted JOIN hashed USING (word) GROUP BY bucket),
+    t AS (SELECT bucket, count(*) AS t FROM b JOIN hashed USING (word) GROUP BY bucket),
+    gains AS (
+        SELECT bucket, floor(1000 * ln(
+            (coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s)
+                + {importance.BUCKETS})::DOUBLE
+            / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t)
+                + {importance.BUCKETS})::DOUBLE)))::BIGINT AS gain
+        FROM s FULL JOIN t USING (bucket)
+    ),
+    w AS (
+        SELECT doc_id, sum(gain)::BIGINT AS weight
+        FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+    ),
+    scored AS (
+        SELECT d.doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+            coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                (('0x' || substr(sha256('{importance.SEED}:' || d.doc_id), 1, 8))::BIGINT + 0.5)
+                    ::DOUBLE / 4294967296)))::BIGINT AS score
+        FROM d LEFT JOIN w USING (doc_id)
+    ),
+    ranked AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r,
+            count(*) OVER () * {importance.PERCENT} // 100 AS most
+        FROM scored WHERE n_features >= {importance.LEAST_WORDS}
+    )
+    SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+        CASE WHEN r <= most THEN r END AS rank
+    FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @register("op13_token_files")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{fresh_folder(spark, 'token-files')}/corpus"
