@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.llm import (
     bpe,
+    conversation_trie,
     embedding_dedup,
     exact_dedup,
     importance,
@@ -268,6 +269,66 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     ).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@register(
+    "op12_conversation_trie",
+    rf"""
+    WITH {CRC_TABLE_SQL},
+    turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, strlen(coalesce(text, '')) AS size,
+            strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS id
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    own AS MATERIALIZED (
+        SELECT conv_id, list({{'id': id, 'size': size}}
+            ORDER BY turn NULLS FIRST, role, substr(sha256(id), 1, 32), size) AS turns
+        FROM turns GROUP BY conv_id
+    ),
+    starts AS (
+        SELECT conv_id, turns,
+            {crc_sql("conv_id::VARCHAR")} % {conversation_trie.STARTS} AS h
+        FROM own, crc_table
+    ),
+    rebuilt AS MATERIALIZED (
+        SELECT s.conv_id, list_concat(coalesce(b.turns[1:h], []), s.turns[h + 1:]) AS turns
+        FROM starts AS s LEFT JOIN own AS b
+            ON b.conv_id = s.conv_id - s.conv_id % {conversation_trie.SHARED}
+    ),
+    reached AS (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt),
+    nodes AS MATERIALIZED (
+        SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+            sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                FILTER (len(turns) = depth), '')) AS ends_sha256
+        FROM reached GROUP BY ALL
+    ),
+    children AS (
+        SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children
+        FROM nodes WHERE depth > 0 GROUP BY ALL
+    ),
+    counted AS MATERIALIZED (
+        SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+            CASE WHEN n.depth = 0 THEN 0 ELSE n.path[n.depth].size END AS size
+        FROM nodes AS n LEFT JOIN children AS c ON n.depth = c.depth AND n.path = c.path
+    ),
+    below AS (
+        SELECT path, n_convs, n_children, size, unnest(range(depth + 1)) AS depth FROM counted
+    ),
+    subtrees AS (
+        SELECT path[1:depth] AS path, depth, count(*) FILTER (n_children = 0) AS n_leaves,
+            sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+        FROM below GROUP BY ALL
+    )
+    SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+        s.n_leaves, s.saved_tokens, c.ends_sha256
+    FROM counted AS c
+    JOIN subtrees AS s ON c.depth = s.depth AND c.path = s.path
+    LEFT JOIN nodes AS p ON p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.conversation_turns(table(spark, folder, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.rebuilt(turns))
+
+
 @register("op13_token_files")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{fresh_folder(spark, 'token-files')}/corpus"
