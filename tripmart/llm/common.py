@@ -65,6 +65,23 @@ def labelled_sample(
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
+def hashed_sample(docs: DataFrame, key: str, text: str, most: int, longest: int) -> DataFrame:
+    """The ``text`` of at most ``most`` documents of up to ``longest`` characters.
+
+    Chosen by a hash of the id. A threshold on the hash leaves about four times as many
+    documents of the whole table, so tasks send few texts to the one that picks.
+    """
+    share = min(1.0, 4 * most / max(docs.count(), 1))
+    choice, words = F.xxhash64(F.col(f"`{key}`")), F.col(f"`{text}`")
+    return (
+        docs.where(F.pmod(choice, F.lit(1 << 40)) < int(share * (1 << 40)))
+        .where(F.length(words).between(1, longest))
+        .orderBy(choice, words)
+        .limit(most)
+        .select(words.alias("text"))
+    )
+
+
 class Known(dict):
     """Codes of the byte strings met so far, and what ``describe`` says of each.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import parked, utf8
+from tripmart.llm.common import hashed_sample, parked, utf8
 from tripmart.operators.numbering import number_rows
 
 GRAMS = 1  # longest run of words
@@ -151,12 +151,8 @@ def composed(crc: np.ndarray, length: np.ndarray, grams: int, buckets: int) -> n
 
 def common_words(docs: DataFrame, id_col: str, text_col: str) -> tuple[bytes, ...]:
     """The most frequent words of a bounded sample, chosen by a hash of the id."""
-    text = F.col(f"`{text_col}`")
-    sample = (
-        docs.where(F.length(text).between(1, SAMPLE_CHARS))
-        .orderBy(F.xxhash64(F.col(f"`{id_col}`")), text)
-        .limit(SAMPLE_DOCS)
-        .select(F.translate(text, UPPER, LOWER).alias("text"))
+    sample = hashed_sample(docs, id_col, text_col, SAMPLE_DOCS, SAMPLE_CHARS).select(
+        F.translate("text", UPPER, LOWER).alias("text")
     )
     rows = (
         sample.select(F.explode(F.regexp_extract_all("text", F.lit(WORD_PATTERN), 0)).alias("word"))

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import parked, utf8
+from tripmart.llm.common import hashed_sample, parked, utf8
 from tripmart.runtime import file_system
 
 END_ID = 2  # appended to every document
@@ -152,13 +152,7 @@ def train(
         data = trained_dictionary(samples)
         yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
 
-    text, key = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{id_col}`"))
-    sample = (
-        docs.where(F.length(text).between(1, SAMPLE_CHARS))
-        .orderBy(key, text)
-        .limit(SAMPLE_DOCS)
-        .select(text.alias("text"))
-    )
+    sample = hashed_sample(docs, id_col, text_col, SAMPLE_DOCS, SAMPLE_CHARS)
     rows = sample.repartition(1).mapInArrow(fit, "data binary").collect()
     return max((bytes(r.data) for r in rows), default=b"", key=len)
 
