@@ -19,10 +19,11 @@ from tripmart.operators.standardize import (
     stg_zone,
 )
 from tripmart.plans import analytics
-from tripmart.runtime import fresh_folder
+from tripmart.runtime import cut, file_system, fresh_folder
 from tripmart.schemas import TRIP_RENAMES, TRIP_TYPES
-from tripmart.sinks.writers import append_rejects, land_raw, write_zone
+from tripmart.sinks.mirror import mirror_log, mirror_raw
 from tripmart.sinks.snapshots import publish_snapshot
+from tripmart.sinks.writers import append_rejects, land_raw, write_zone
 from tripmart.sources.landing import drift_profile, incoming_manifest, lake_inventory
 from tripmart.sources.readers import read_optional, read_reference, read_trips, register_catalog
 
@@ -260,9 +261,88 @@ def _(t: Tables) -> DataFrame:
 
 @query("raw_landing", ("landed",), f"SELECT {TRIP_SQL} FROM landed")
 def _(t: Tables) -> DataFrame:
+    """Trips read from the mirrored files."""
     base = fresh_folder(t.spark, "landing")
     t.trips_landed().drop("l_orderkey").write.parquet(f"{base}/incoming/trips/one")
-    return standard_trips(read_trips(t.spark, land_raw(t.spark, base, "trips", "b1")))
+    mirror_raw(t.spark, base, "b1")
+    return standard_trips(read_trips(t.spark, f"{base}/raw/trips"))
+
+
+@query("raw_landing_rows", ("landed",), f"SELECT {TRIP_SQL} FROM landed")
+def _(t: Tables) -> DataFrame:
+    """Trips of one batch as rows, files of different headers united by name."""
+    base = fresh_folder(t.spark, "landing")
+    t.trips_landed().drop("l_orderkey").write.parquet(f"{base}/incoming/trips/one")
+    land_raw(t.spark, base, "trips", "b1")
+    return standard_trips(read_trips(t.spark, f"{base}/raw/trips").drop("_landed_from"))
+
+
+def one_file_a_segment(t: Tables, text: str):
+    """Customers' lines in a csv file for each market segment."""
+    return (
+        t.given("customer")
+        .select("c_mktsegment", F.concat_ws(",", "c_custkey", F.lit(text)).alias("line"))
+        .repartition("c_mktsegment")
+        .sortWithinPartitions("c_mktsegment", "line")
+        .write.mode("overwrite")
+        .partitionBy("c_mktsegment")
+        .option("compression", "none")
+    )
+
+
+@query(
+    "raw_mirror",
+    (),
+    """WITH s AS (SELECT c_mktsegment, sum(strlen(c_custkey::VARCHAR) + 5)::BIGINT AS bytes
+                 FROM customer GROUP BY 1)
+       SELECT v.batch, 'copied' AS status, count(*) AS files, sum(bytes)::BIGINT AS bytes
+       FROM s, (VALUES ('1')) AS v(batch) GROUP BY 1
+       UNION ALL SELECT '3', 'refused', count(*), sum(bytes)::BIGINT FROM s
+       UNION ALL SELECT 'same bytes', 'raw', count(*), sum(bytes)::BIGINT FROM s""",
+)
+def _(t: Tables) -> DataFrame:
+    """Files of three batches: new ones, none new, and others under names that are taken.
+
+    What lies in raw at the end is compared with what arrived first by the checksum of
+    its bytes.
+    """
+    base = fresh_folder(t.spark, "mirror")
+    one_file_a_segment(t, "new").text(f"{base}/lines")
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", True)
+
+    def deliver(text: str) -> None:
+        one_file_a_segment(t, text).text(f"{base}/lines")
+        fs, _ = file_system(t.spark, base)
+        path = t.spark._jvm.org.apache.hadoop.fs.Path
+        for row in files.load(f"{base}/lines").select("path").collect():
+            segment = row.path.split("c_mktsegment=")[1].split("/")[0]
+            target = path(f"{base}/incoming/segments/{segment}/lines.csv")
+            fs.mkdirs(target.getParent())
+            fs.delete(target, False)
+            fs.rename(path(row.path), target)
+
+    def digests(folder: str) -> DataFrame:
+        return files.load(folder).select(
+            F.regexp_extract("path", "segments/(.*)$", 1).alias("name"),
+            F.sha2("content", 256).alias("sha256"),
+            "length",
+        )
+
+    deliver("new")
+    first = cut(digests(f"{base}/incoming"))
+    mirror_raw(t.spark, base, "1")
+    mirror_raw(t.spark, base, "2")
+    deliver("old")
+    mirror_raw(t.spark, base, "3")
+    there = digests(f"{base}/raw/segments").join(first, ["name", "sha256", "length"])
+    log = mirror_log(t.spark, base).select("batch", "status", "length")
+    return (
+        log.unionByName(
+            there.select(F.lit("same bytes").alias("batch"), F.lit("raw").alias("status"), "length")
+        )
+        .groupBy("batch", "status")
+        .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    )
 
 
 # --- standardising ----------------------------------------------------------------
