@@ -80,7 +80,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
 
 
-def near_want(rows):
+def near_want(rows, percent=85):
     sets = {k: shingles(t) for k, t in rows}
     top = {k: k for k in sets}
 
@@ -93,7 +93,7 @@ def near_want(rows):
     for i, a in enumerate(keys):
         for b in keys[i + 1 :]:
             x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 a_, b_ = root(a), root(b)
                 top[max(a_, b_)] = min(a_, b_)
     return {k: (len(s), root(k)) for k, s in sets.items()}

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripmart.llm import language_id, quality_crf, toxicity
@@ -163,3 +164,35 @@ def test_known_forgets():
     assert measured.table().tolist() == [[1, 0.5], [2, 0.5], [3, 0.5]]
     measured.begin_batch()
     assert measured[b"ccc"] == 0 and measured.table().tolist() == [[3, 0.5]]
+
+
+def test_stretches_are_bounded(monkeypatch):
+    """What is remembered is measured in bytes; long stretches get numbers but no key."""
+    monkeypatch.setattr(toxicity, "KNOWN_BYTES", 2_000)
+    known = toxicity.Stretches(toxicity._describer({}))
+    codes = [known[s] for s in [b"you", b"x" * 500, b"x" * 500, b"you"]]
+    assert codes == [0, 1, 2, 0] and list(known) == [b"you"]
+    assert known.table()[codes, 8].tolist() == [3, 500, 500, 3]
+    for i in range(20):
+        known[b"w%d" % i]
+    known.begin_batch()
+    assert not known and len(known.table()) == 0
+
+
+def test_slices_by_bytes(monkeypatch):
+    monkeypatch.setattr(toxicity, "SLICE_BYTES", 250)
+    texts = pa.array(["a", None, "b" * 900, "", "c"])
+    assert list(toxicity._slices(texts)) == [(0, 3), (3, 5)]
+    assert list(toxicity._slices(texts.slice(0, 0))) == []
+
+
+def test_clean_rows_come_back_whole(corpus, docs):
+    """Every column of the rows that score lower, as they were."""
+    texts, labels = corpus
+    model = toxicity.fit(texts, labels)
+    scores = {(r.doc_id, r.score < 0.5) for r in model.score(docs).collect()}
+    kept = model.keep_clean(docs)
+    assert kept.columns == docs.columns
+    clean = {k for k, low in scores if low}
+    want = sorted(str(r) for r in docs.collect() if r.doc_id in clean)
+    assert sorted(map(str, kept.collect())) == want

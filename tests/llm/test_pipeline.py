@@ -52,7 +52,8 @@ def test_stages(spark):
     assert {r.doc_id for r in after.collect()} == {w[1] for w in want}
 
     before, after = seen["near dedup"]
-    want = near_want([tuple(r) for r in before.select("doc_id", "text").collect()])
+    rows = [tuple(r) for r in before.select("doc_id", "text").collect()]
+    want = near_want(rows, corpus_pipeline.NEAR_PERCENT)
     assert {r.doc_id for r in after.collect()} == {k for k, (_, top) in want.items() if k == top}
 
     before, after = seen["mixing"]

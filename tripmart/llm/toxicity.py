@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -45,7 +46,9 @@ INSULTS = frozenset(
 LETTERS = re.compile(r"[^\W\d_]+")
 DISGUISED = re.compile(r"[^\W\d_][0-9@$!*#%]+[^\W\d_]|([^\W\d_])\1{3,}")
 FEATURES, NUMBERS = 12, 9  # of a text, of a stretch between white space
-SLICE = 1000  # texts at once
+SLICE_BYTES = 2 << 20  # texts at once
+KNOWN_BYTES = 32 << 20  # of the stretches that a task remembers
+LONGEST_KNOWN = 128  # bytes of a stretch that is remembered
 
 
 def _keys(word: str) -> list[str]:
@@ -167,10 +170,50 @@ def _features(numbers: np.ndarray) -> list[float]:
     ]
 
 
-def text_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFrame:
+class Stretches(Measured):
+    """Numbers of the stretches met, bounded in bytes.
+
+    Long stretches, such as texts without white space, are measured each time and never
+    kept as a key; all is forgotten between slices once it is more than ``KNOWN_BYTES``.
+    """
+
+    def __init__(self, describe) -> None:
+        super().__init__(describe, NUMBERS)
+        self.held = 0
+
+    def __missing__(self, part: bytes) -> int:
+        code = len(self.rows) // self.width
+        self.rows.extend(self.describe(part))
+        self.held += 4 * self.width
+        if len(part) <= LONGEST_KNOWN:
+            self[part] = code
+            self.held += len(part) + 150  # with what Python and the table of keys take
+        return code
+
+    def begin_batch(self) -> None:
+        if self.held > KNOWN_BYTES:
+            self.clear()
+            del self.rows[:]
+            self.held = 0
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts, each closed by the text that fills it."""
+    begin, size = 0, 0
+    for at, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist(), 1):
+        size += n + 100
+        if size >= SLICE_BYTES or at == len(texts):
+            yield begin, at
+            begin, size = at, 0
+
+
+def text_features(
+    rows: DataFrame, lexicons: list[dict[str, float]], inside: int | None = None
+) -> DataFrame:
     """``rows`` (_id, other, half, text) with features for the text.
 
-    ``half`` names the lexicon: 0 the whole one, else the one of the other half.
+    ``half`` names the lexicon: 0 the whole one, else the one of the other half. With
+    ``inside`` the text is that field of ``_id`` and no column of its own.
     """
     schema = (
         T.StructType()
@@ -180,25 +223,31 @@ def text_features(rows: DataFrame, lexicons: list[dict[str, float]]) -> DataFram
     )
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {h: Measured(_describer(lexicons[(0, 2, 1)[h]]), NUMBERS) for h in (0, 1, 2)}
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+        known = {h: Stretches(_describer(lexicons[(0, 2, 1)[h]])) for h in (0, 1, 2)}
+        for batch in batches:
+            keys = batch.column(0)
+            texts = batch.column(3) if inside is None else pc.struct_field(keys, [inside])
+            for begin, end in _slices(texts):
                 for k in known.values():
                     k.begin_batch()
-                halves = batch.column(2).to_pylist()
+                halves = batch.column(2).slice(begin, end - begin).to_pylist()
                 codes = []
-                for half, text in zip(halves, batch.column(3)):
+                for half, text in zip(halves, texts.slice(begin, end - begin)):
                     mine = known[half]
                     codes.append(np.array([mine[s] for s in utf8(text).split()], np.int32))
-                tables = {h: k.table() for h, k in known.items()}
+                tables = {h: known[h].table() for h in set(halves)}
                 found = [_features(tables[h][c]) for h, c in zip(halves, codes)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.float64()))],
+                    [
+                        keys.slice(begin, end - begin),
+                        batch.column(1).slice(begin, end - begin),
+                        pa.array(found, pa.list_(pa.float64())),
+                    ],
                     ["_id", "other", "features"],
                 )
 
-    return rows.select("_id", "other", "half", "text").mapInArrow(compute, schema)
+    columns = ["_id", "other", "half", *(["text"] if inside is None else [])]
+    return rows.select(*columns).mapInArrow(compute, schema)
 
 
 class ToxicityModel:
@@ -212,20 +261,24 @@ class ToxicityModel:
         return self._scored(docs, F.col(id_col), text_col).withColumnRenamed("_id", id_col)
 
     def keep_clean(self, docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
-        """The rows of ``docs`` scored below ``least``, passed through without a shuffle."""
+        """The rows of ``docs`` scored below ``least``, passed through without a shuffle.
+
+        A row travels once, with its text inside. A null text is an empty one; repeated
+        rows stay or go together, an empty table gives an empty one with its columns.
+        """
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        return self._scored(docs, row, text_col).where(F.col("score") < least).select("_id.*")
-
-    def _scored(self, docs: DataFrame, key: Column, text_col: str) -> DataFrame:
-        rows = docs.select(
-            key.alias("_id"),
-            F.lit(0).alias("other"),
-            F.lit(0).alias("half"),
-            F.col(text_col).alias("text"),
-        )
+        scored = self._scored(docs, row, text_col, docs.columns.index(text_col))
+        return scored.where(F.col("score") < least).select("_id.*")
+
+    def _scored(
+        self, docs: DataFrame, key: Column, text_col: str, inside: int | None = None
+    ) -> DataFrame:
+        zero = F.lit(0)
+        rows = docs.select(key.alias("_id"), zero.alias("other"), zero.alias("half"),
+                           *([F.col(text_col).alias("text")] if inside is None else []))
         if self.trees is None:
             return rows.select("_id", F.lit(self.prior).alias("score"))
-        scored = _raw(self.trees, text_features(rows, self.lexicons))
+        scored = _raw(self.trees, text_features(rows, self.lexicons, inside))
         if self.isotonic:
             scored = self.isotonic.transform(scored)
         else:
