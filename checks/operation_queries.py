@@ -27,12 +27,13 @@ from checks.quality_queries import ALL_RUNS, RUN_TABLES, stored_summary, summary
 from checks.registry import dbl, half_up, query, ts
 from checks.tables import Tables
 from tripmart import schemas
-from tripmart.operators import dimensions, facts, scd2
+from tripmart.operators import dimensions, facts, key_index, quality, scd2
 from tripmart.operators.standardize import standard_trips
 from tripmart.plans import monitoring, warehouse
 from tripmart.plans.batch_run import run_batch
 from tripmart.runtime import fresh_folder
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
+from tripmart.sinks.writers import write_zone
 from tripmart.streaming.alarms import run_alarms
 from tripmart.streaming.landing import raw_landing_stream
 from tripmart.streaming.scd2 import scd2_stream
@@ -333,6 +334,51 @@ def _(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [*facts_of, calendar, *histories])
 
 
+@query(
+    "repeats_across_batches",
+    ("landed",),
+    """WITH brought AS (
+          SELECT l.*, b.batch FROM landed AS l, (VALUES ('b-1'), ('b-2'), ('b-3')) AS b(batch)
+          WHERE CASE b.batch WHEN 'b-1' THEN l_orderkey % 2 = 1 WHEN 'b-2' THEN l_orderkey % 2 = 0
+              OR l_orderkey % 5 = 1 ELSE l_orderkey % 6 < 2 END),
+        grouped AS (SELECT batch, vendor_id, pickup_datetime, dropoff_datetime, pu_location_id,
+            do_location_id, count(*) AS n FROM brought GROUP BY ALL),
+        keyed AS (SELECT batch, n, count(*) OVER k AS batches, min(batch) OVER k AS first
+          FROM grouped WINDOW k AS (PARTITION BY vendor_id, pickup_datetime, dropoff_datetime,
+            pu_location_id, do_location_id))
+        SELECT batch, CAST(sum(n - 1 + CASE WHEN batches > 1 THEN 1 ELSE 0 END) AS BIGINT)
+            AS duplicate_rows,
+          CAST(sum(CASE WHEN batch = first THEN n ELSE 0 END) AS BIGINT) AS fact_rows
+        FROM keyed GROUP BY batch""",
+)
+def _(t: Tables) -> DataFrame:
+    """What the duplicate rule counts in each of three batches, and what the fact takes."""
+    base = fresh_folder(t.spark, "repeats")
+    key = F.col("l_orderkey")
+    chosen = {"b-1": key % 2 == 1, "b-2": (key % 2 == 0) | (key % 5 == 1), "b-3": key % 6 < 2}
+    landed = t.trips_landed()
+    for batch, some in chosen.items():
+        trips = standard_trips(landed.filter(some)).withColumn("batch", F.lit(batch))
+        write_zone(trips, f"{base}/trips", ("batch",), only_touched=True)
+        key_index.index_batch(t.spark.read.parquet(f"{base}/trips").where(F.col("batch") == batch), base)
+    trips = t.spark.read.parquet(f"{base}/trips")
+    index = key_index.read_index(t.spark, base)
+    copies = key_index.later_copies(index, index.select("pickup_month"))
+    taken = key_index.without_later_copies(trips, copies)
+    counted = [
+        quality.rule_counts(
+            trips.where(F.col("batch") == batch), None, None, key_index.seen_elsewhere(index, batch)
+        ).select(F.lit(batch).alias("batch"), F.col("R08").alias("duplicate_rows"))
+        for batch in chosen
+    ]
+    rows = taken.groupBy("batch").agg(F.count(F.lit(1)).alias("fact_rows"))
+    return (
+        reduce(DataFrame.unionByName, counted)
+        .join(rows, "batch", "left")
+        .withColumn("fact_rows", F.coalesce("fact_rows", F.lit(0)))
+    )
+
+
 # --- streaming ------------------------------------------------------------------------
 
 

@@ -122,6 +122,31 @@ def test_later_batches_add_and_repeats_change_nothing(spark, tmp_path):
         assert spark.read.parquet(f"{base}/curated/dq_results").count() == 18
 
 
+def test_a_trip_in_two_batches(spark, tmp_path):
+    """Counted as a duplicate in each batch that is judged after, once in the fact."""
+    base = lake(tmp_path, HEADER + GOOD_TRIPS)
+    run_batch(spark, base, "first", "2023-09-05 00:00:00")
+    again = GOOD_TRIPS.splitlines(keepends=True)[0]
+    more = tmp_path / "incoming" / "yellow_taxi" / "later"
+    more.mkdir()
+    (more / "second.csv").write_text(
+        HEADER + again + "6,2023-09-04 05:00:00,2023-09-04 05:12:00,1,2.5,77,45,13.0,1.0,16.0,1\n"
+    )
+    fares = None
+    for _ in range(2):
+        report = run_batch(spark, base, "second", "2023-09-06 00:00:00")
+        assert report.steps[1] == ("etl", "done", 2) and "quality gate" in report.error
+        rules = spark.read.parquet(f"{base}/curated/dq_results").where("run_id = 'second'")
+        failed = {r.rule_id: r.failed_rows for r in rules.collect() if r.failed_rows}
+        assert list(failed.values()) == [1] and "R08" in next(iter(failed))
+        fares = sorted(float(r.fare_amount) for r in spark.read.parquet(f"{base}/curated/fact_trip").collect())
+        assert fares == [9.75, 13.0, 21.25, 33.5]
+    # The first batch, judged again, sees the copy as well, and its own trip stays.
+    run_batch(spark, base, "first", "2023-09-05 00:00:00")
+    rows = spark.read.parquet(f"{base}/curated/fact_trip").collect()
+    assert sorted(float(r.fare_amount) for r in rows) == fares
+
+
 def test_the_warehouse_keeps_what_it_refuses(spark, tmp_path):
     base = lake(tmp_path, HEADER + GOOD_TRIPS)
     vendors = tmp_path / "incoming" / "vendors" / "vendors.csv"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.operators.facts import dedup_trips
+from tripmart.operators.key_index import key_digest
 from tripmart.runtime import broadcast_if_small
 
 MASTER_RULES = (
@@ -55,14 +56,19 @@ def _with_membership(df: DataFrame, rule: str, key: str, master: DataFrame | Non
 
 
 def rule_counts(
-    trips: DataFrame, zones: DataFrame | None, vendors: DataFrame | None
+    trips: DataFrame,
+    zones: DataFrame | None,
+    vendors: DataFrame | None,
+    elsewhere: DataFrame | None = None,
 ) -> DataFrame:
     """One row: rows in total and failed rows of R01 to R08.
 
     A single scan and a single shuffle of the trips: rows are first aggregated
     by natural key, where duplicates show, and carry their other flags along as
     sums. Membership depends on the key alone, so it is looked up after that.
-    An absent or empty master fails no row; a NULL key is left to R01.
+    An absent or empty master fails no row; a NULL key is left to R01. With
+    ``elsewhere`` (digests of keys that other batches have brought) every row of such
+    a key is a duplicate, not just the second.
     """
     flags = _row_flags()
     groups = trips.groupBy(*schemas.TRIP_KEY).agg(
@@ -75,7 +81,12 @@ def rule_counts(
         groups = _with_membership(groups, rule, key, masters[rule], master_key)
         outside = F.col(key).isNotNull() & F.col(f"_{rule}").isNull()
         sums.append(F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).alias(rule))
-    sums.append(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("R08"))
+    repeated = F.col("_n") - 1
+    if elsewhere is not None:
+        known = elsewhere.select(F.col("digest").alias("_digest"), F.lit(1).alias("_known"))
+        groups = groups.withColumn("_digest", key_digest()).join(known, "_digest", "left")
+        repeated = repeated + F.coalesce("_known", F.lit(0))
+    sums.append(F.coalesce(F.sum(repeated), F.lit(0)).alias("R08"))
     return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"), *sums)
 
 
@@ -86,12 +97,13 @@ def dq_results(
     run_id: str,
     run_ts: str,
     min_rows: int = schemas.DQ_MIN_ROWS,
+    elsewhere: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per rule of a run."""
+    """One row per rule of a run; ``elsewhere`` as :func:`rule_counts` takes it."""
     zones = zones if zones is not None and not zones.isEmpty() else None
     vendors = vendors if vendors is not None and not vendors.isEmpty() else None
     absent = {"R05": vendors is None, "R06": zones is None, "R07": zones is None}
-    counts = rule_counts(trips, zones, vendors).withColumn(
+    counts = rule_counts(trips, zones, vendors, elsewhere).withColumn(
         "R09", F.when(F.col("total_rows") >= min_rows, 0).otherwise(1)
     )
     rules = [

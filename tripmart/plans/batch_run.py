@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
-from tripmart.operators import dimensions, facts, quality, scd2
+from tripmart.operators import dimensions, facts, key_index, quality, scd2
 from tripmart.operators.standardize import split_valid, standard_trips, std_columns
 from tripmart.plans import monitoring, warehouse
 from tripmart.runtime import broadcast_if_small, counted, file_system, rows_seen
@@ -39,6 +40,23 @@ class RunReport:
         )
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing_by_cores(spark: SparkSession):
+    """Folders of a table are listed by a few tasks a core, not by a task each.
+
+    A table with a folder a date has thousands of them, and each is listed in no time.
+    """
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, min(int(before), 4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 def _masters(spark: SparkSession, base: str, run_id: str) -> None:
     """Processed masters from this batch's files; without new ones they stay."""
     for source, schema, renames in (
@@ -73,7 +91,8 @@ def etl(spark: SparkSession, base: str, run_id: str, run_ts: str) -> tuple[int,
     """Raw to processed and curated; numbers of valid and rejected trips of the batch.
 
     Trips are kept by batch, and a batch that runs again replaces itself. Of the fact only
-    the dates of this batch are built anew, from the trips of all batches.
+    the dates of this batch are built anew, from the trips of all batches; a trip that
+    several batches have brought is taken from the first of them by name.
     """
     trips = standard_trips(
         read_trips(spark, f"{base}/raw/yellow_taxi/batch={run_id}").drop("_landed_from")
@@ -100,14 +119,16 @@ def etl(spark: SparkSession, base: str, run_id: str, run_ts: str) -> tuple[int,
     vendors = spark.read.parquet(f"{base}/curated/dim_vendor")
     dates = touched_dates(spark, base, run_id)
     day = F.to_date("pickup_datetime") == F.col("pickup_date")
-    trips = (
-        spark.read.option("mergeSchema", True)
-        .parquet(processed)
-        .drop("batch")
-        .join(broadcast_if_small(dates), day, "left_semi")
+    stored = spark.read.option("mergeSchema", True).parquet(processed)
+    own = stored.filter(F.col("batch") == F.lit(BATCH + run_id))
+    key_index.index_batch(own, base)
+    months = own.select(key_index.key_month().alias("pickup_month"))
+    copies = key_index.later_copies(key_index.read_index(spark, base), months)
+    trips = key_index.without_later_copies(
+        stored.join(broadcast_if_small(dates), day, "left_semi"), copies
     )
     write_zone(
-        facts.build_fact(trips, zones, vendors),
+        facts.build_fact(trips.drop("batch"), zones, vendors),
         f"{base}/curated/fact_trip",
         ("pickup_date",),
         only_touched=True,
@@ -120,7 +141,10 @@ def etl(spark: SparkSession, base: str, run_id: str, run_ts: str) -> tuple[int,
 def check(
     spark: SparkSession, base: str, run_id: str, run_ts: str, threshold: float
 ) -> DataFrame:
-    """Judge the batch's valid trips, keep results and summary; the run's summary."""
+    """Judge the batch's valid trips, keep results and summary; the run's summary.
+
+    A trip that another batch has brought as well counts as a duplicate.
+    """
     trips = read_optional(spark, f"{base}/processed/yellow_taxi")
     if trips is None:
         raise FileNotFoundError("no processed trips, the ETL must run first")
@@ -130,6 +154,7 @@ def check(
         read_optional(spark, f"{base}/processed/vendors"),
         run_id,
         run_ts,
+        elsewhere=key_index.seen_elsewhere(key_index.read_index(spark, base), BATCH + run_id),
     )
     append_run(results, f"{base}/curated/dq_results", run_id)
     stored = spark.read.parquet(f"{base}/curated/dq_results").filter(F.col("run_id") == run_id)
@@ -206,7 +231,14 @@ def run_batch(
     failed rules, enriched, versions, and rows in the warehouse; rows that the
     warehouse refuses are a step of their own. A run that broke off may run again.
     """
-    report = RunReport(run_id)
+    with listing_by_cores(spark):
+        return _run(spark, base, RunReport(run_id), run_ts, threshold)
+
+
+def _run(
+    spark: SparkSession, base: str, report: RunReport, run_ts: str, threshold: float
+) -> RunReport:
+    run_id = report.run_id
     landed = sum(
         land_raw(spark, base, source, run_id)
         for source in ("yellow_taxi", "taxi_zones", "vendors")
