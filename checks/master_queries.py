@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.etl_queries import clean, fact
@@ -16,9 +16,9 @@ from tripmart.functions.text import (
     token_set_similarity,
     tokens,
 )
-from tripmart.operators import dimensions, matching, quality, scd2, survivorship
+from tripmart.operators import dimensions, matching, quality, scd2, survivorship, versions
 from tripmart.plans import analytics
-from tripmart.runtime import fresh_folder
+from tripmart.runtime import cut, fresh_folder
 from tripmart.schemas import VENDORS, ZONES
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
 
@@ -215,6 +215,74 @@ def zone_replay(t: Tables) -> DataFrame:
 
 
 query("scd2_seed_replay", ZONE_TABLES, f"SELECT * FROM {ZONE_REVISED}")(zone_replay)
+
+
+@query(
+    "scd2_kept_keys",
+    ZONE_TABLES,
+    f"""SELECT *, row_number() OVER (ORDER BY valid_from, natural_key) AS surrogate_key
+        FROM {ZONE_REVISED}""",
+)
+def _(t: Tables) -> DataFrame:
+    """Three loads, each of which numbers only the versions that it adds."""
+    keyed = scd2.continue_surrogate_keys(zone_load(t), None, ZONE_ATTRS)
+    for snapshot, now in ((1, T1), (0, T2)):
+        merged = scd2.scd2_merge(t.master_zones(snapshot), keyed, "location_id", ZONE_ATTRS, now)
+        keyed = cut(scd2.continue_surrogate_keys(merged, keyed, ZONE_ATTRS))
+    return keyed
+
+
+@query(
+    "trips_as_of",
+    ("landed",),
+    """WITH started AS (
+          SELECT DISTINCT pu_location_id AS natural_key, year(pickup_datetime) AS y FROM landed),
+        versions AS (
+          SELECT natural_key, y, make_timestamp(y, 1 + natural_key % 12, 15, 0, 0, 0) AS valid_from,
+            CASE WHEN (natural_key + y) % 5 = 0
+              THEN make_timestamp(y, 1 + natural_key % 12, 28, 0, 0, 0)
+              ELSE coalesce(lead(make_timestamp(y, 1 + natural_key % 12, 15, 0, 0, 0))
+                OVER (PARTITION BY natural_key ORDER BY y), TIMESTAMP '9999-12-31') END AS valid_to
+          FROM started)
+        SELECT l_orderkey, pu_location_id, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S')
+            AS pickup_datetime, v.y AS pickup_version
+        FROM landed LEFT JOIN versions AS v ON pu_location_id = natural_key
+          AND valid_from <= pickup_datetime AND pickup_datetime < valid_to""",
+)
+def _(t: Tables) -> DataFrame:
+    """Each trip with the version of its pickup zone at the time; some years have gaps."""
+    trips = t.trips_landed().select(
+        "l_orderkey",
+        F.col("PULocationID").alias("pu_location_id"),
+        F.col("tpep_pickup_datetime").alias("pickup_datetime"),
+    )
+    start = F.make_timestamp_ntz(
+        F.col("y"), (1 + F.col("natural_key") % 12).cast("int"), F.lit(15), F.lit(0), F.lit(0), F.lit(0)
+    )
+    following = Window.partitionBy("natural_key").orderBy("y")
+    history = (
+        trips.select(
+            F.col("pu_location_id").alias("natural_key"), F.year("pickup_datetime").alias("y")
+        )
+        .distinct()
+        .withColumn("valid_from", start)
+        .withColumn(
+            "valid_to",
+            F.when(
+                (F.col("natural_key") + F.col("y")) % 5 == 0,
+                F.col("valid_from") + F.expr("INTERVAL 13 DAYS"),
+            ).otherwise(
+                F.coalesce(
+                    F.lead("valid_from").over(following), F.lit("9999-12-31").cast("timestamp_ntz")
+                )
+            ),
+        )
+    )
+    return versions.join_versions(
+        trips, history, "pu_location_id", "pickup_datetime", ("y",)
+    ).withColumnRenamed("y", "pickup_version")
+
+
 @query(
     "scd2_check",
     ZONE_TABLES,

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from tripmart.runtime import cut
 
 
-def _ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+def ranged_rows(df: DataFrame, order: list[Column]) -> DataFrame:
     """``df`` range-partitioned and sorted, with partition number and position.
 
     Kept by a checkpoint: the bounds of the ranges are sampled, so a second
@@ -33,7 +33,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     The rows of a partition are numbered where they lie. Only one row per
     partition takes part in the running total that gives the offsets.
     """
-    ranged = _ranged(df, order)
+    ranged = ranged_rows(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_part")
@@ -57,7 +57,7 @@ def number_in_groups(
     numbered in parallel: its offset in a partition is the number of its rows in
     the partitions before. Most groups lie in one partition and need no offset.
     """
-    ranged = _ranged(df, [*[F.col(g) for g in group], *order])
+    ranged = ranged_rows(df, [*[F.col(g) for g in group], *order])
     pieces = ranged.groupBy(*group, "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )

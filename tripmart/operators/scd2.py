@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tripmart import schemas
 from tripmart.functions.hashing import record_hash
 from tripmart.operators.numbering import number_rows
+from tripmart.runtime import cut
 
 PERIOD = ("valid_from", "valid_to", "is_current", "record_hash", "created_at", "updated_at")
 
@@ -163,6 +164,33 @@ def with_surrogate_keys(
     return numbered.select(*columns)
 
 
+def continue_surrogate_keys(
+    history: DataFrame, previous: DataFrame | None, attrs: tuple[str, ...]
+) -> DataFrame:
+    """Versions that ``previous`` has keep their keys; only the others are numbered.
+
+    A version is its natural key, start and content. New ones are numbered after the
+    highest key by natural key and start, so a load sorts what it adds, not all history,
+    and a load that is repeated gives the same keys.
+    """
+    if previous is None:
+        return with_surrogate_keys(history, attrs)
+    version = ("natural_key", "valid_from", "record_hash")
+    known = previous.select("surrogate_key", *[F.col(c).alias(f"_{c}") for c in version])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in version]
+    plain = history.drop("surrogate_key")
+    matched = cut(plain.join(known, same[0] & same[1] & same[2], "left").drop(*[f"_{c}" for c in version]))
+    last = previous.agg(F.coalesce(F.max("surrogate_key"), F.lit(0))).first()[0]
+    order = [F.col(c) for c in ("natural_key", "valid_from", "valid_to", "record_hash")]
+    fresh = number_rows(
+        matched.where("surrogate_key IS NULL").drop("surrogate_key"), order, "_number"
+    ).withColumn("surrogate_key", F.col("_number") + F.lit(last))
+    columns = ["surrogate_key", "natural_key", *attrs, *PERIOD]
+    return (
+        matched.where("surrogate_key IS NOT NULL").select(*columns).unionByName(fresh.select(*columns))
+    )
+
+
 def scd2_check(history: DataFrame) -> DataFrame:
     """Broken rules of a history; no rows when all versions chain up.
 

@@ -198,7 +198,7 @@ def version_master(spark: SparkSession, base: str, now: str) -> dict[str, DataFr
             now,
         )
         publish_snapshot(
-            scd2.with_surrogate_keys(merged, domain.history_attrs),
+            scd2.continue_surrogate_keys(merged, history, domain.history_attrs),
             dest,
             partition_by=("is_current",),
         )
