@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.registry import avg2, day, dbl, half_up, query, ts
+from checks.registry import QUERIES, avg2, day, dbl, half_up, query, ts
 from checks.tables import Tables
 from tripmart.operators import dimensions, facts
 from tripmart.operators.standardize import (
@@ -708,13 +710,43 @@ query(
 )(lambda t: analytics.borough_share(fact(t)))
 
 
+# Labels and measures of the named reports.
+REPORTS = {
+    "kpis": ((), ("total_trips", "total_revenue", "avg_fare", "avg_distance_mi")),
+    "trips_by_borough": (("pickup_borough",), ("trips", "revenue")),
+    "trips_by_vendor": (("vendor_name",), ("trips", "avg_fare")),
+    "top_routes": (("pickup_zone", "dropoff_zone"), ("trips", "avg_fare", "avg_tip")),
+    "daily_trend": (("pickup_date",), ("trips", "revenue")),
+    "hourly_profile": (("pickup_hour",), ("trips",)),
+}
+
+
+def report_sql(name: str, labels: tuple[str, ...], measures: tuple[str, ...]) -> str:
+    """A report's own SQL with a row for each of its measures."""
+    label = f"concat_ws('|', {', '.join(f'{c}::VARCHAR' for c in labels)})" if labels else "''"
+    names, values = ", ".join(f"'{m}'" for m in measures), ", ".join(map(dbl, measures))
+    return f"""SELECT '{name}' AS query, {label} AS label, unnest([{names}]) AS measure,
+        unnest([{values}]) AS value FROM ({QUERIES[name].sql})"""
+
+
 @query(
-    "named_query",
-    ("fact",),
-    f"""SELECT pickup_borough, count(*) AS trips, {dbl('sum(total_amount)')} AS revenue
-        FROM fact GROUP BY pickup_borough""",
+    "named_query", (), " UNION ALL ".join(report_sql(name, *how) for name, how in REPORTS.items())
 )
 def _(t: Tables) -> DataFrame:
-    """A report by name over the registered fact."""
-    fact(t).createOrReplaceTempView("named_fact_trip")
-    return analytics.named_query(t.spark, "trips_by_borough", "named_")
+    """All reports by name over the registered fact, a row for each of their measures."""
+    cut(fact(t)).createOrReplaceTempView("named_fact_trip")
+    parts = []
+    for name in analytics.available_queries():
+        labels, measures = REPORTS[name]
+        each = [
+            F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
+            for m in measures
+        ]
+        parts.append(
+            analytics.named_query(t.spark, name, "named_").select(
+                F.lit(name).alias("query"),
+                F.concat_ws("|", *[F.col(c).cast("string") for c in labels]).alias("label"),
+                F.inline(F.array(*each)),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
