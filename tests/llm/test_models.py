@@ -138,18 +138,59 @@ def test_all_segmentations():
         return result
 
     words = ["a", "abab", "abxba", "bbbb"]
-    got = language_id.log_chances(words, known, chance)
+    got = language_id.log_chances(words, language_id.Pieces(known), chance)
     for word, logs in zip(words, got):
         assert logs == pytest.approx([np.log(total(word, row)) for row in chance])
 
 
+def test_long_words_and_pieces(monkeypatch):
+    """A word of many characters and a piece of nine, in one batch and in several."""
+    known = {"a": 1, "ab": 2, "abababaab": 3, "b": 4}
+    row = np.array([0.01, 0.2, 0.3, 0.25, 0.24])
+    words = ["ab" * 30, "abababaab" * 7, "xb" * 900, "a"]
+
+    def log_total(word):
+        sums = [0.0]
+        for end in range(1, len(word) + 1):
+            ways = []
+            for n in range(1, min(end, 9) + 1):
+                piece = known.get(word[end - n : end], 0 if n == 1 else None)
+                if piece is not None and (piece or word[end - 1] not in known):
+                    ways.append(sums[end - n] + np.log(row[piece]))
+            sums.append(np.logaddexp.reduce(ways))
+        return sums[-1]
+
+    want = [log_total(w) for w in words]
+    for size in (1 << 15, 11):
+        monkeypatch.setattr(language_id, "BATCH", size)
+        got = language_id.log_chances(words, language_id.Pieces(known), row[None])[:, 0]
+        assert got == pytest.approx(want)
+
+
+def test_word_scores_are_bounded(monkeypatch):
+    """Totals do not depend on what is remembered or on how a text is taken apart."""
+    pieces = language_id.Pieces({"a": 1, "b": 2, "ab": 3})
+    chance = np.array([[0.1, 0.2, 0.3, 0.4], [0.4, 0.3, 0.2, 0.1]])
+    texts = ["ab ba", "", "12 3", "abab " * 50 + "b" * 300, "Ab, ba!"]
+    want = language_id.WordScores(pieces, chance).totals(texts)
+    assert want[1] is want[2] is None and want[0] == pytest.approx(want[4])
+    monkeypatch.setattr(language_id, "MANY", 7)
+    monkeypatch.setattr(language_id, "KNOWN_BYTES", 0)
+    scores = language_id.WordScores(pieces, chance)
+    for _ in range(2):
+        for got, total in zip(scores.totals(texts), want):
+            assert (got is None) == (total is None)
+            assert got is None or got == pytest.approx(total)
+    assert "b" * 300 not in scores
+
+
 def test_expected_pieces_add_up():
     """Every segmentation covers the word: expected characters are its length."""
-    known = {"a": 1, "b": 2, "ab": 3}
+    pieces = language_id.Pieces({"a": 1, "b": 2, "ab": 3})
     chance = np.array([[0.1, 0.3, 0.3, 0.3]])
     total = np.zeros((1, 4))
     language_id._add_expected(
-        total, ["abab", "bx"], np.array([0, 0]), np.array([2.0, 3.0]), known, chance
+        total, ["abab", "bx"], np.array([0, 0]), np.array([2.0, 3.0]), pieces, chance
     )
     assert total[0] @ np.array([1, 1, 1, 2]) == pytest.approx(4 * 2 + 2 * 3)
 
