@@ -16,7 +16,15 @@ from tripmart.functions.text import (
     token_set_similarity,
     tokens,
 )
-from tripmart.operators import dimensions, matching, quality, scd2, survivorship, versions
+from tripmart.operators import (
+    chained_merges,
+    dimensions,
+    matching,
+    quality,
+    scd2,
+    survivorship,
+    versions,
+)
 from tripmart.plans import analytics
 from tripmart.runtime import cut, fresh_folder
 from tripmart.schemas import VENDORS, ZONES
@@ -769,6 +777,87 @@ def _(t: Tables) -> DataFrame:
     return refused.select("survivor_id", "refused")
 
 
+# Merges that build on each other, four in each block of eight records.
+CHAIN = (
+    "CASE WHEN b % 8 IN (1, 2) THEN b - b % 8 + 1 END",
+    "CASE WHEN b % 8 IN (1, 3, 4) THEN b - b % 8 + 3 END",
+    """CASE WHEN b // 8 % 2 = 1 AND b % 8 IN (2, 5) THEN b - b % 8 + 2
+            WHEN b // 8 % 2 = 0 AND b % 8 IN (2, 3, 5) THEN b - b % 8 + 3 END""",
+    "CASE WHEN b % 8 IN (3, 6) THEN b - b % 8 + 6 END",
+)
+
+
+def chain_orders(t: Tables) -> DataFrame:
+    """The record merged last is gone in every second block's third instruction."""
+    key = F.col("p_partkey")
+    odd = F.floor(key / 8) % 2 == 1
+    step = (
+        F.when(key % 8 == 1, F.struct(F.lit(1).alias("at"), F.array(key + 1).alias("ids")))
+        .when(key % 8 == 3, F.struct(F.lit(2).alias("at"), F.array(key - 2, key + 1).alias("ids")))
+        .when((key % 8 == 2) & odd, F.struct(F.lit(3).alias("at"), F.array(key + 3).alias("ids")))
+        .when(key % 8 == 6, F.struct(F.lit(4).alias("at"), F.array(key - 3).alias("ids")))
+    )
+    third = F.struct(F.lit(3).alias("at"), F.array(key + 2, key - 1).alias("ids"))
+    steps = F.array_compact(F.array(step, F.when((key % 8 == 3) & ~odd, third)))
+    return (
+        t.given("part")
+        .select(key.alias("survivor_id"), F.explode(steps).alias("step"))
+        .select("survivor_id", "step.at", F.col("step.ids").alias("duplicate_ids"))
+    )
+
+
+def chain_sql(tail: str) -> str:
+    """The merges of a chain as one step after the other."""
+    text = ["m0 AS (SELECT * FROM vendor_records)"]
+    for i, into in enumerate(CHAIN, 1):
+        empties = " + ".join(f"(coalesce({a}, '') = '')::INT" for a in VENDORS.attrs)
+        best = ", ".join(
+            f"arg_min({a}, rank) FILTER (coalesce({a}, '') <> '') AS {a}" for a in VENDORS.attrs
+        )
+        values = ", ".join(
+            f"CASE WHEN g.into_pk IS NULL THEN m.{a} ELSE g.{a} END AS {a}" for a in VENDORS.attrs
+        )
+        text += [
+            f"""n{i} AS (SELECT *, {into.replace("b ", "vendor_pk ")} AS into_pk FROM m{i - 1})""",
+            f"""l{i} AS (SELECT *, row_number() OVER (PARTITION BY into_pk ORDER BY {empties},
+                  CASE lower(source_system) WHEN 'tlc_registry' THEN 3 WHEN 'partner_feed' THEN 2
+                    WHEN 'manual_entry' THEN 1 ELSE 0 END DESC, updated_at DESC, vendor_pk) AS rank
+                FROM n{i} WHERE into_pk IN (SELECT vendor_pk FROM m{i - 1}))""",
+            f"g{i} AS (SELECT into_pk, {best} FROM l{i} GROUP BY into_pk)",
+            f"""m{i} AS (SELECT m.vendor_pk, m.vendor_id, {values}, m.source_system,
+                  CASE WHEN g.into_pk IS NULL THEN m.updated_at
+                    ELSE TIMESTAMP '{T2}' END AS updated_at
+                FROM m{i - 1} m LEFT JOIN g{i} g ON g.into_pk = m.vendor_pk
+                WHERE m.vendor_pk NOT IN (SELECT vendor_pk FROM l{i} WHERE vendor_pk <> into_pk))""",
+        ]
+    return f"SELECT * FROM (WITH {', '.join(text)} {tail})"
+
+
+def merged_chain(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return chained_merges.merge_in_order(master(t), chain_orders(t), VENDORS, "at", T2)
+
+
+query("merge_chain", ("vendor_records",), chain_sql(f"SELECT {MERGED_SQL} FROM m{len(CHAIN)}"))(
+    lambda t: merged_chain(t)[0]
+)
+
+
+@query(
+    "merge_chain_audit",
+    ("vendor_records",),
+    """SELECT row_number() OVER (ORDER BY step, survivor_id) AS seq, * EXCLUDE (step) FROM (
+         SELECT 1 AS step, vendor_pk AS survivor_id, CAST(NULL AS VARCHAR) AS refused
+         FROM vendor_records WHERE vendor_pk % 8 = 1
+         UNION ALL SELECT 2, vendor_pk, NULL FROM vendor_records WHERE vendor_pk % 8 = 3
+         UNION ALL SELECT 3, vendor_pk, CASE WHEN vendor_pk % 8 = 2 THEN 'survivor not found' END
+         FROM vendor_records WHERE vendor_pk % 8 = CASE WHEN vendor_pk // 8 % 2 = 1 THEN 2 ELSE 3 END
+         UNION ALL SELECT 4, vendor_pk, NULL FROM vendor_records WHERE vendor_pk % 8 = 6)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Which instructions of the chain are refused at their turn."""
+    return merged_chain(t)[1].select("seq", "survivor_id", "refused")
+
+
 AUDIT = f"""SELECT 'vendors' AS domain, p_partkey AS survivor_id,
     (p_partkey - 1) || ',' || (p_partkey + 1) AS duplicate_ids,
     'api' AS merged_by, '{T2}' AS merged_at
