@@ -82,3 +82,22 @@ def test_mixed_rows(docs, no_docs):
         copies[r.doc_id] += r.copies
     assert Counter(r.doc_id for r in left.collect()) == +copies
     assert mixing.mixed(no_docs).collect() == [] and mixing.mix(no_docs).collect() == []
+
+
+def test_sums_beyond_long(spark):
+    """Running sums past 2**63 units, in few and many partitions."""
+    units = [2**61, 2**61 + 5, 0, 2**62 - 1, 7, 2**30 - 1, *[2**61 + 3**i for i in range(20)]]
+    frame = spark.createDataFrame([("a", i, n) for i, n in enumerate(units)], "g string, i long, n long")
+    start = frame.select(mixing.offset(frame.g, 1)).first()[0]
+    want, total = [], start
+    for n in units:
+        want.append((total + n) // 2**30 - total // 2**30)
+        total += n
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            rows = mixing.systematic_copies(frame, "g", "n", ["i"]).orderBy("i").collect()
+            assert [r.copies for r in rows] == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -97,13 +97,18 @@ def systematic_copies(
     """``rows`` with ``copies``: whole numbers crossed by the running sum in the group.
 
     ``expected`` counts copies in units of 2**-30. ``order`` should tell all rows of a
-    group apart; rows that are the same in all of it may change places.
+    group apart; rows that are the same in all of it may change places. Whole copies are
+    set apart before anything is added up, and only the remainder of a partition's sum is
+    carried to the next, so a group's sum may exceed any integer type.
     """
+    remainder = F.col(expected).bitwiseAND(F.lit(UNIT - 1))
     keys = [group, *order]
     ranged = parked(
         rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "ranged"
     )
-    pieces = ranged.groupBy("_part", group).agg(F.sum(expected).alias("_sum"))
+    pieces = ranged.groupBy("_part", group).agg(
+        F.sum(remainder).bitwiseAND(F.lit(UNIT - 1)).alias("_sum")
+    )
     earlier = (
         Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -121,12 +126,14 @@ def systematic_copies(
     )
     end = F.col("_end") + F.col("_before") + offset(F.col(group), seed)
     return (
-        ranged.withColumn("_end", F.sum(expected).over(here))
+        ranged.withColumn("_end", F.sum(remainder).over(here))
         .join(pieces, (F.col("_part") == F.col("_p")) & _same(group, "_g"))
         .withColumn("_end", end)
         .withColumn(
             "copies",
-            F.shiftright("_end", 30) - F.shiftright(F.col("_end") - F.col(expected), 30),
+            F.shiftright(expected, 30)
+            + F.shiftright("_end", 30)
+            - F.shiftright(F.col("_end") - remainder, 30),
         )
         .drop("_part", "_p", "_g", "_end", "_before")
     )
