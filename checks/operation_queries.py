@@ -34,7 +34,7 @@ from tripmart.plans.batch_run import run_batch
 from tripmart.runtime import fresh_folder
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
 from tripmart.sinks.writers import write_zone
-from tripmart.streaming.alarms import run_alarms
+from tripmart.streaming.alarms import alarm_transitions_stream, run_alarms
 from tripmart.streaming.landing import raw_landing_stream
 from tripmart.streaming.scd2 import scd2_stream
 
@@ -407,6 +407,49 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+def transitions_sql(end: str) -> str:
+    """Changes over every period from an alarm's first to ``end``, with those without data."""
+    return f"""WITH {STATISTICS}, span AS (
+          SELECT name, unnest(generate_series(min(period_start), {end}, INTERVAL 300 SECONDS))
+            AS period_start FROM periods GROUP BY name),
+        every AS (SELECT name, s.period_start, coalesce(p.state, 'OK') AS state,
+            coalesce(p.reason, 'no data, treated as not breaching') AS reason
+          FROM span s LEFT JOIN periods p USING (name, period_start)),
+        told AS (SELECT *, coalesce(lag(state) OVER (PARTITION BY name ORDER BY period_start), 'OK')
+            AS was FROM every)
+        SELECT name, {ts('period_start')} AS period_start, state, reason FROM told WHERE state <> was"""
+
+
+query("alarm_transitions", ("metrics",), transitions_sql("(SELECT max(ts) FROM metrics)"))(
+    lambda t: monitoring.alarm_transitions(t.metrics())
+)
+
+
+@query(
+    "alarm_transitions_stream",
+    ("metrics",),
+    transitions_sql("(SELECT max(ts) FROM metrics) - INTERVAL 10 MINUTES - INTERVAL 300 SECONDS"),
+)
+def _(t: Tables) -> DataFrame:
+    """The metrics in three deliveries by time; the checkpoint carries the alarms over."""
+    base = fresh_folder(t.spark, "changes-of-alarms")
+    metrics = t.metrics()
+    ends = metrics.select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("s")).agg(
+        F.min("s").alias("a"), F.max("s").alias("b")
+    )
+    third = F.floor(
+        (F.unix_seconds(F.col("ts").cast("timestamp")) - F.col("a")) * 3 / (F.col("b") - F.col("a") + 1)
+    )
+    dealt = metrics.crossJoin(F.broadcast(ends)).withColumn("part", third).drop("a", "b")  # one row
+    for part in range(3):
+        dealt.filter(F.col("part") == part).drop("part").write.mode("append").parquet(f"{base}/metrics")
+        stream = t.spark.readStream.schema(metrics.schema).parquet(f"{base}/metrics")
+        run_alarms(
+            stream, f"{base}/out", f"{base}/checkpoint", stream=alarm_transitions_stream
+        ).awaitTermination()
+    return t.spark.read.parquet(f"{base}/out")
+
+
 @query(
     "metric_alarms_stream",
     ("metrics",),
