@@ -186,7 +186,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, each as often as :func:`mix` takes it.
 
     Rows that share id, source and size are told apart by nothing that matters to the
-    mix: they get the sum of their copies in turn.
+    mix: they get the sum of their copies in turn. An empty table gives an empty one with
+    its columns.
     """
     plan = (
         mix(docs, id_col, text_col, source_col, **how)
