@@ -24,7 +24,7 @@ from checks.master_queries import (
     zone_history,
     zone_load,
 )
-from checks.quality_queries import ALL_RUNS, RUN_TABLES, stored_summary, summary_sql
+from checks.quality_queries import ALL_RUNS, RUN_TABLES, stored_results, stored_summary, summary_sql
 from checks.registry import dbl, half_up, query, ts
 from checks.tables import Tables
 from tripmart import schemas
@@ -32,9 +32,10 @@ from tripmart.operators import dimensions, facts, key_index, quality, scd2
 from tripmart.operators.standardize import standard_trips
 from tripmart.plans import monitoring, warehouse, zone_tables
 from tripmart.plans.batch_run import run_batch
-from tripmart.runtime import fresh_folder
+from tripmart.runtime import cut, fresh_folder
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
 from tripmart.sinks.writers import write_zone
+from tripmart.sources.readers import register_catalog
 from tripmart.streaming.alarms import alarm_transitions_stream, run_alarms
 from tripmart.streaming.landing import raw_landing_stream
 from tripmart.streaming.scd2 import scd2_stream
@@ -201,6 +202,59 @@ def _(t: Tables) -> DataFrame:
     return warehouse.load_counts({**warehouse_tables(t), "fact_trip": fact(t)})
 
 
+@query(
+    "catalog_tables",
+    ("fact", "zones", "vendors", *RUN_TABLES, *HISTORY_TABLES),
+    f"""SELECT 'fact_trip' AS tbl, count(*) AS rows, {dbl("sum(fare_amount)")} AS total FROM fact
+        UNION ALL SELECT 'dim_date', count(DISTINCT pickup_date),
+          sum(DISTINCT CAST(strftime(pickup_date, '%Y%m%d') AS DOUBLE)) FROM fact
+        UNION ALL SELECT 'dim_zone', count(*), {dbl("sum(location_id)")} FROM zones
+        UNION ALL SELECT 'dim_vendor', count(*), {dbl("sum(vendor_id)")} FROM vendors
+        UNION ALL SELECT 'dq_results', count(*), {dbl("sum(failed_rows)")} FROM ({ALL_RUNS})
+        UNION ALL SELECT 'dq_run_summary', count(*), {dbl("sum(total_rows)")}
+          FROM ({summary_sql(ALL_RUNS)})
+        UNION ALL SELECT 'dim_zone_scd2', count(*), {dbl("sum(natural_key)")} FROM {ZONE_MERGED}
+        UNION ALL SELECT 'dim_vendor_scd2', count(*), {dbl("sum(natural_key)")} FROM {VENDOR_MERGED}""",
+)
+def _(t: Tables) -> DataFrame:
+    """Rows and a sum of every table and snapshot that the catalog finds."""
+    base = fresh_folder(t.spark, "catalog")
+    trips = cut(fact(t))
+    results = cut(stored_results(t))
+    made = {
+        "fact_trip": trips,
+        "dim_date": dimensions.dim_date(trips),
+        "dim_zone": dimensions.dim_zone(t.zones()),
+        "dim_vendor": dimensions.dim_vendor(t.vendors()),
+        "dq_results": results,
+        "dq_run_summary": quality.dq_run_summary(results),
+    }
+    for name, rows in made.items():
+        rows.write.parquet(f"{base}/{schemas.CATALOG[name][0]}")
+    publish_snapshot(zone_history(t), f"{base}/{schemas.SNAPSHOTS['dim_zone_scd2']}")
+    publish_snapshot(vendor_history(t), f"{base}/{schemas.SNAPSHOTS['dim_vendor_scd2']}")
+    sums = {
+        "fact_trip": "fare_amount",
+        "dim_date": "date_key",
+        "dim_zone": "location_id",
+        "dim_vendor": "vendor_id",
+        "dq_results": "failed_rows",
+        "dq_run_summary": "total_rows",
+        "dim_zone_scd2": "natural_key",
+        "dim_vendor_scd2": "natural_key",
+    }
+    found = register_catalog(t.spark, base, "all_")
+    counted = [
+        t.spark.table(name).agg(
+            F.lit(name.removeprefix("all_")).alias("tbl"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(sums[name.removeprefix("all_")]).cast("double").alias("total"),
+        )
+        for name in found
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- monitoring -----------------------------------------------------------------------
 
 ALARM_VALUES = ", ".join(
