@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tripmart import schemas
 from tripmart.runtime import any_case, file_system
-from tripmart.sinks.snapshots import snapshot_folder
+from tripmart.sinks.snapshots import snapshot_folders
 
 
 def _file_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -108,10 +108,13 @@ def _live(spark: SparkSession, base: str, relative: Column) -> Column:
     """Whether a file counts: all but those of versions that a snapshot has left behind."""
     live = F.lit(True)
     for folder in schemas.SNAPSHOTS.values():
-        current = snapshot_folder(spark, f"{base}/{folder}")
-        if current is not None:
+        current = snapshot_folders(spark, f"{base}/{folder}")
+        if current:
             of_table = F.startswith(relative, F.lit(f"{folder}/"))
-            live = live & (~of_table | F.startswith(relative, F.lit(f"{folder}/{current}/")))
+            # A folder of a version, or a part of one by key bucket.
+            inside = F.regexp_extract(relative, f"^{folder}/([^/]+)/", 1)
+            part = F.regexp_extract(relative, f"^{folder}/([^/]+/[^/]+)/", 1)
+            live = live & (~of_table | inside.isin(current) | part.isin(current))
     return live
 
 
