@@ -28,7 +28,12 @@ from tripmart.operators import (
 from tripmart.plans import analytics
 from tripmart.runtime import cut, fresh_folder
 from tripmart.schemas import VENDORS, ZONES
-from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
+from tripmart.sinks.snapshots import (
+    drop_old_versions,
+    leased_snapshot,
+    publish_snapshot,
+    read_snapshot,
+)
 
 ZONE_ATTRS = ZONES.history_attrs
 VENDOR_ATTRS = VENDORS.history_attrs
@@ -326,6 +331,26 @@ def _swap(t: Tables) -> DataFrame:
     return read_snapshot(t.spark, dest)
 
 
+@query(
+    "snapshot_retention",
+    ZONE_TABLES,
+    f"""SELECT 1 AS version, * FROM ({ZONE_LOAD})
+        UNION ALL BY NAME SELECT 3 AS version, * FROM {ZONE_REVISED}""",
+)
+def _retention(t: Tables) -> DataFrame:
+    """Of three versions the newest stays, and the first, which is being read."""
+    dest = fresh_folder(t.spark, "retention")
+    publish_snapshot(zone_load(t), dest)
+    publish_snapshot(zone_history(t), dest)
+    publish_snapshot(zone_replay(t), dest)
+    with leased_snapshot(t.spark, dest, version=1) as read:
+        gone = drop_old_versions(t.spark, dest, keep=1)
+        rows = read.withColumn("version", F.lit(1))
+    newest = read_snapshot(t.spark, dest).withColumn("version", F.lit(3))
+    kept = rows.unionByName(newest)
+    return kept.filter(~F.col("version").isin(gone))
+
+
 query(
     "dim_current",
     ZONE_TABLES,

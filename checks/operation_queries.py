@@ -35,9 +35,9 @@ from tripmart.plans.batch_run import run_batch
 from tripmart.runtime import cut, fresh_folder
 from tripmart.sinks.snapshots import publish_snapshot, read_snapshot
 from tripmart.sinks.writers import write_zone
-from tripmart.sources.readers import register_catalog
+from tripmart.sources.readers import read_trips, register_catalog
 from tripmart.streaming.alarms import alarm_transitions_stream, run_alarms
-from tripmart.streaming.landing import raw_landing_stream
+from tripmart.streaming.landing import landing_stream, raw_landing_stream
 from tripmart.streaming.scd2 import scd2_stream
 
 # --- warehouse ------------------------------------------------------------------------
@@ -489,6 +489,31 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "landing_stream_kinds",
+    ("landed",),
+    f"""SELECT vendor_id, {ts('pickup_datetime')} AS pickup_datetime, pu_location_id,
+          do_location_id, {dbl('fare_amount')} AS fare_amount, kind
+        FROM (SELECT *, CASE l_orderkey % 4 WHEN 0 THEN 'parquet' WHEN 3 THEN 'json' ELSE 'csv' END
+          AS kind FROM landed)""",
+)
+def _(t: Tables) -> DataFrame:
+    """Four deliveries: parquet, csv, csv with its columns turned round, json."""
+    base = fresh_folder(t.spark, "stream")
+    trips = t.trips_landed()
+    names = [c for c in trips.columns if c != "l_orderkey"]
+    for part, kind in enumerate(("parquet", "csv", "csv", "json")):
+        rows = trips.filter(F.pmod("l_orderkey", F.lit(4)) == part)
+        rows = rows.select(*(reversed(names) if part == 2 else names))
+        rows.write.option("header", True).format(kind).save(f"{base}/incoming/trips/{part}")
+        landing_stream(t.spark, base, f"{base}/checkpoint", 3).awaitTermination()
+    landed = read_trips(t.spark, f"{base}/raw/trips")
+    kind = F.substring_index("_landed_from", ".", -1)
+    return standard_trips(landed.withColumn("kind", kind).drop("_landed_from")).select(
+        "vendor_id", "pickup_datetime", "pu_location_id", "do_location_id", "fare_amount", "kind"
+    )
+
+
 def transitions_sql(end: str) -> str:
     """Changes over every period from an alarm's first to ``end``, with those without data."""
     return f"""WITH {STATISTICS}, span AS (

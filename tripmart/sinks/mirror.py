@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tripmart.runtime import file_system
 from tripmart.sinks.writers import append_rows, parked_listing
+from tripmart.sources.headers import opened
 from tripmart.sources.landing import incoming_manifest
 
 PIECE = 8 << 20  # bytes that are copied at once
@@ -30,15 +31,6 @@ LOG = (
 )
 
 
-def _opened(uri: str) -> tuple[store.FileSystem, str]:
-    """The file system of a path as Spark names it, and the path on it."""
-    if uri.startswith("file:"):
-        return store.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    if "://" not in uri:
-        return store.LocalFileSystem(), uri
-    return store.FileSystem.from_uri(uri)
-
-
 def _digest(files: store.FileSystem, path: str, out=None) -> tuple[str, int]:
     """Checksum and length of a file, which is copied to ``out`` on the way."""
     state, size = hashlib.sha256(), 0
@@ -74,8 +66,8 @@ def copy_file(source: str, target: str) -> tuple[str, str]:
     Present is a target with the same bytes, refused one with others, which stays. A copy
     that breaks off leaves a hidden part at most, never a file under the name.
     """
-    from_store, origin = _opened(source)
-    to_store, path = _opened(target)
+    from_store, origin = opened(source)
+    to_store, path = opened(target)
     if to_store.get_file_info(path).type == store.FileType.NotFound:
         folder, name = path.rsplit("/", 1)
         to_store.create_dir(folder, recursive=True)

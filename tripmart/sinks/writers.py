@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart import schemas
 from tripmart.runtime import counted, file_system, fresh_folder, rows_seen
+from tripmart.sources.headers import csv_by_name, files_by_header
 from tripmart.sources.landing import incoming_manifest
 
 
@@ -73,31 +72,17 @@ def _landing_log(spark: SparkSession, base: str, source: str) -> DataFrame:
     return spark.read.schema(schema).parquet(log)
 
 
-def _csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Csv files whose headers may differ in names and order, united by name.
-
-    The first line of every file is found in one pass; files with the same
-    header are read together, and there are few different headers.
-    """
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
-        "value",
-    )
-    firsts = lines.groupBy("path").agg(F.min_by("value", "at").alias("header")).collect()
-    groups: dict[str, list[str]] = {}
-    for row in firsts:
-        groups.setdefault(row.header, []).append(row.path)
-    parts = [
-        spark.read.option("header", True).option("enforceSchema", False).csv(groups[header])
-        for header in sorted(groups)
-    ]
-    parts = [p.withColumn("_landed_from", F.col("_metadata.file_path")) for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
+    """Copy the new valid files of one source into ``raw/<source>/batch=<id>``."""
+    if not _landing_log(spark, base, source).filter(F.col("batch") == batch_id).isEmpty():
+        return 0
+    return land_files(spark, base, source, batch_id, incoming_manifest(spark, base))
 
 
-def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
-    """Copy the new valid files of one source into ``raw/<source>/batch=<id>``.
+def land_files(
+    spark: SparkSession, base: str, source: str, batch_id: str, manifest: DataFrame
+) -> int:
+    """Copy the valid files of one source in ``manifest`` into ``raw/<source>/batch=<id>``.
 
     New are files that no earlier batch has landed in the same length and time. Each
     kind of file has a folder; columns are matched by name, and ``_landed_from`` says
@@ -109,8 +94,7 @@ def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
         return 0
     # A listing has one row a file, as has any plan that scans them.
     files = parked_listing(
-        incoming_manifest(spark, base)
-        .filter("valid")
+        manifest.filter("valid")
         .filter(F.col("raw_key").startswith(f"raw/{source}/"))
         .join(log, ["raw_key", "length", "modification_time"], "left_anti")
     )
@@ -123,7 +107,10 @@ def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
         if not chosen:
             continue
         if kind == "csv":
-            rows = _csv_by_name(spark, chosen)
+            listed = files.filter(F.lower("path").endswith(".csv"))
+            rows = csv_by_name(spark, files_by_header(listed)).withColumnRenamed(
+                "_file", "_landed_from"
+            )
         else:
             reader = spark.read.option("mergeSchema", True).option("primitivesAsString", True)
             rows = (reader.parquet if kind == "parquet" else reader.json)(

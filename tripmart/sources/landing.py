@@ -43,15 +43,13 @@ def _below(path: Column, base: str) -> Column:
     return F.regexp_replace(path, r"^.*?\Q" + root + r"\E/", "")
 
 
-def incoming_manifest(spark: SparkSession, base: str) -> DataFrame:
-    """Files in the incoming zone, each with a verdict and its key in the raw zone."""
-    incoming = f"{base}/incoming"
-    relative = _below(F.col("path"), incoming)
+def judged_files(listing: DataFrame, base: str) -> DataFrame:
+    """Files of the incoming zone, each with a verdict and its key in the raw zone."""
+    relative = _below(F.col("path"), f"{base}/incoming")
     extension = F.lower(F.regexp_extract(relative, r"\.([^./]+)$", 1))
     reason = F.when(
         ~extension.isin(*schemas.LANDING_EXTENSIONS), F.lit("unsupported file type")
     ).when(F.col("length") == 0, F.lit("empty file"))
-    listing = _file_listing(spark, incoming).unionByName(_empty_files(spark, incoming))
     return listing.select(
         "path",
         "length",
@@ -62,6 +60,13 @@ def incoming_manifest(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def incoming_manifest(spark: SparkSession, base: str) -> DataFrame:
+    """All files in the incoming zone now, judged."""
+    incoming = f"{base}/incoming"
+    listing = _file_listing(spark, incoming).unionByName(_empty_files(spark, incoming))
+    return judged_files(listing, base)
+
+
 def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
     """Missing, extra and retyped columns; from the schemas alone, without a scan."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema}

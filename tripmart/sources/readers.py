@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tripmart import schemas
 from tripmart.runtime import any_case, file_system
 from tripmart.sinks.snapshots import read_snapshot, snapshot_exists
+from tripmart.sources.headers import csv_by_name, files_by_header
 
 
 def _has_files(spark: SparkSession, path: str, extension: str) -> bool:
@@ -25,13 +26,22 @@ def _has_files(spark: SparkSession, path: str, extension: str) -> bool:
 def _csv_with_header(
     spark: SparkSession, path: str, schema: T.StructType | None
 ) -> DataFrame:
-    """Csv files whose headers all agree with the schema, or with the first header."""
+    """Csv files whose headers all agree with the schema; without one, united by name."""
     reader = (
         spark.read.option("header", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", any_case("csv"))
     )
     if schema is None:
+        listing = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", any_case("csv"))
+            .load(path)
+        )
+        groups = files_by_header(listing.select("path"))
+        if len(groups) > 1:
+            return csv_by_name(spark, groups).drop("_file")
         schema = reader.csv(path).schema
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
