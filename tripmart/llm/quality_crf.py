@@ -12,24 +12,33 @@ documents, and the results are averaged by number of documents (parameter mixing
 
 from __future__ import annotations
 
+import hashlib
+import io
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import Measured, fold, labelled_sample, parked, utf8
+from tripmart.llm.toxicity import LONGEST_KNOWN, Stretches
 
 TRAIN_ROWS = 6_000
+TRAIN_LENGTH = 100_000  # characters; longer texts are scored, but not learned from
 TRAIN_PARTS = 6
 ROUNDS, STEPS = 3, 60
 RATE, DECAY = 0.1, 1e-3
 
 WORDLIKE = re.compile(r"\W*[^\W\d_]+(?:['’-][^\W\d_]+)*\W*\Z")
 NUMBERS = 8  # of a stretch between white space
-SLICE = 1000  # texts at once
+SLICE, SLICE_BYTES = 1000, 4 << 20  # texts at once
+BLOCK = 128 << 10  # bytes of a longer text at once
+STRETCH = re.compile(rb"\S+")
 OWN = 11  # features of a line by itself
 NEIGHBOUR = 7  # of these, the first ones are also taken from the lines next to it
 FEATURES = OWN + 2 * NEIGHBOUR + 3
@@ -52,6 +61,25 @@ def describe(part: bytes) -> tuple[float, ...]:
     )
 
 
+class LineStretches(Stretches):
+    """Numbers of stretches, bounded in bytes; long ones are known by a digest."""
+
+    def __init__(self) -> None:
+        super().__init__(describe, NUMBERS)
+
+    def __missing__(self, part: bytes) -> int:
+        if len(part) <= LONGEST_KNOWN:
+            return super().__missing__(part)
+        # No stretch has a space in it.
+        name = b" " + hashlib.blake2b(part, digest_size=16).digest()
+        code = self.get(name)
+        if code is None:
+            self[name] = code = len(self.rows) // self.width
+            self.rows.extend(self.describe(part))
+            self.held += 200 + 4 * self.width
+        return code
+
+
 def line_features(lines: list[np.ndarray], ends: list[bool], numbers: np.ndarray) -> np.ndarray:
     """A row a line, from the codes of its stretches and whether it ends a sentence."""
     own = np.zeros((len(lines), OWN))
@@ -60,7 +88,10 @@ def line_features(lines: list[np.ndarray], ends: list[bool], numbers: np.ndarray
         if not n:
             own[i, OWN - 1] = 1.0
             continue
-        total = numbers[codes].sum(axis=0, dtype=np.float64)
+        total = sum(
+            numbers[codes[at : at + BLOCK]].sum(axis=0, dtype=np.float64)
+            for at in range(0, n, BLOCK)
+        )
         same = float((codes[1:] == codes[:-1]).sum()) / n
         own[i] = (
             total[2] / n,
@@ -84,12 +115,76 @@ def line_features(lines: list[np.ndarray], ends: list[bool], numbers: np.ndarray
 
 def text_lines(text: bytes, known: Measured) -> tuple[list[np.ndarray], list[bool], np.ndarray]:
     """Codes, sentence ends and lengths of a text's lines; an empty text has one line."""
-    lines = text.split(b"\n")
-    codes = [np.array([known[s] for s in line.split()], np.int64) for line in lines]
+    return coded_lines(text.split(b"\n"), known)
+
+
+def _codes(line: bytes, known: Measured) -> np.ndarray:
+    if len(line) <= BLOCK:
+        return np.array([known[s] for s in line.split()], np.int64)
+    return np.array(array("q", (known[s[0]] for s in STRETCH.finditer(line))))
+
+
+def coded_lines(
+    lines: list[bytes], known: Measured
+) -> tuple[list[np.ndarray], list[bool], np.ndarray]:
+    """Codes, sentence ends and lengths of lines."""
+    codes = [_codes(line, known) for line in lines]
     ends = [line.rstrip()[-1:] in b".!?:;\"')" and bool(line.strip()) for line in lines]
     return codes, ends, np.array([len(line) + 1.0 for line in lines])
 
 
+def _read_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """The lines of a text that is not empty, about ``BLOCK`` bytes at a time."""
+    source = io.BytesIO(text)
+    while lines := source.readlines(BLOCK):
+        yield [line.removesuffix(b"\n") for line in lines]
+    if text.endswith(b"\n"):
+        yield [b""]
+
+
+def _long_emissions(
+    text: bytes, weights: np.ndarray, known: Measured
+) -> tuple[np.ndarray, np.ndarray]:
+    """Scores and lengths of a long text's lines; only these are held for all lines."""
+    scores, lengths = [], []
+    before, blocks = [], _read_blocks(text)
+    lines = next(blocks)
+    while lines is not None:
+        following = next(blocks, None)
+        around = [*before, *lines, *(following or [])[:1]]
+        known.begin_batch()
+        codes, ends, sizes = coded_lines(around, known)
+        own = slice(len(before), len(before) + len(lines))
+        scores.append((line_features(codes, ends, known.table()) @ weights)[own])
+        lengths.append(sizes[own])
+        before, lines = lines[-1:], following
+    return np.concatenate(scores), np.concatenate(lengths)
+
+
+def emissions(
+    texts: list[bytes], weights: np.ndarray, known: Measured
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its lines' scores, good against bad, and their lengths."""
+    known.begin_batch()
+    short = {i: text_lines(t, known) for i, t in enumerate(texts) if len(t) <= BLOCK}
+    numbers = known.table()
+    found = {i: (line_features(c, e, numbers) @ weights, n) for i, (c, e, n) in short.items()}
+    for i, text in enumerate(texts):
+        if i not in found:
+            found[i] = _long_emissions(text, weights, known)
+    return [found[i] for i in range(len(texts))]
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts, bounded in number and closed by the text that fills them."""
+    begin, size = 0, 0
+    for at, n in enumerate(pc.binary_length(texts).fill_null(0).to_pylist(), 1):
+        size += n
+        if size >= SLICE_BYTES or at - begin == SLICE or at == len(texts):
+            yield begin, at
+            begin, size = at, 0
+
+
 def _log_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b)
 
@@ -138,6 +233,46 @@ def marginals(
     return log_z, good, moves
 
 
+def _odds(odds, step: np.ndarray):
+    """Log odds of the next state from those of this one, seen along or against a chain."""
+    return np.logaddexp(step[0, 1], odds + step[1, 1]) - np.logaddexp(
+        step[0, 0], odds + step[1, 0]
+    )
+
+
+def line_marginals(emit: np.ndarray, step: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The marginals of good that ``marginals`` gives, by log odds, one number a line."""
+    chains, most = emit.shape
+    if chains == 1:
+        return _one_chain(emit[0], step)[None, :]
+    good, behind = np.array(emit), np.zeros(chains)
+    for t in range(1, most):
+        good[:, t] += _odds(good[:, t - 1], step)
+    for t in range(most - 2, -1, -1):
+        behind = np.where(t + 1 < count, _odds(behind + emit[:, t + 1], step.T), 0.0)
+        good[:, t] += behind
+    return 1 / (1 + np.exp(-np.clip(good, -700, 700)))
+
+
+def _one_chain(emit: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The same for one chain, however long, with plain numbers."""
+    (s00, s01), (s10, s11) = step.tolist()
+
+    def log_sum(a: float, b: float) -> float:
+        return max(a, b) + math.log1p(math.exp(-abs(a - b)))
+
+    good, odds = array("d"), None
+    for e in map(float, emit):
+        odds = e if odds is None else e + log_sum(s01, odds + s11) - log_sum(s00, odds + s10)
+        good.append(odds)
+    behind = 0.0
+    for t in range(len(good) - 2, -1, -1):
+        go = behind + float(emit[t + 1])
+        behind = log_sum(s10, go + s11) - log_sum(s00, go + s01)
+        good[t] += behind
+    return 1 / (1 + np.exp(-np.clip(np.array(good), -700, 700)))
+
+
 def _grouped(counts: np.ndarray, cells: int = 200_000) -> Iterator[np.ndarray]:
     """Chains of similar length together, each group a bounded number of cells."""
     order = np.argsort(counts, kind="stable")[::-1]
@@ -190,11 +325,13 @@ def fit_locally(weights, step, features, labels, counts, steps: int = STEPS):
 def train(labelled: DataFrame, folds: int = 4, held_out: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """Weights of features and moves from rows (doc_id, text, label) outside a fold.
 
-    At most ``TRAIN_ROWS`` rows in the order of a hash; null labels are skipped. Without
+    At most ``TRAIN_ROWS`` rows in the order of a hash, with texts of up to
+    ``TRAIN_LENGTH`` characters; null labels are skipped. Without
     rows all weights are zero, and every text scores one half.
     """
     rows = (
         labelled.where(F.col("label").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
+        .where(F.coalesce(F.length("text"), F.lit(0)) <= TRAIN_LENGTH)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(TRAIN_ROWS)
     )
@@ -207,10 +344,10 @@ def train(labelled: DataFrame, folds: int = 4, held_out: int = 2) -> tuple[np.nd
         begin = (weights.copy(), step.copy())
 
         def local(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
-            known, parts, labels, counts = Measured(describe, NUMBERS), [], [], []
+            known, parts, labels, counts = LineStretches(), [], [], []
             for whole in batches:
-                for at in range(0, whole.num_rows, SLICE):
-                    batch = whole.slice(at, SLICE)
+                for begin_at, end_at in _slices(whole.column(1)):
+                    batch = whole.slice(begin_at, end_at - begin_at)
                     known.begin_batch()
                     found = [text_lines(utf8(text), known) for text in batch.column(1)]
                     numbers = known.table()
@@ -243,26 +380,28 @@ def score_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Id, ``score`` and ``lines``, the marginal of every line, for every row."""
+    """Id, ``score`` and ``lines``, the marginal of every line, for every row.
+
+    Texts are taken a few megabytes at a time, a very long one in blocks of lines, of
+    which a number a line stays: its score, then its marginal.
+    """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = rows.schema["_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Measured(describe, NUMBERS)
+        known = LineStretches()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                known.begin_batch()
-                found = [text_lines(utf8(text), known) for text in part.column(1)]
-                numbers = known.table()
-                features = np.vstack([line_features(c, e, numbers) for c, e, _ in found])
-                counts = np.array([len(c) for c, _, _ in found])
-                starts, emit = np.cumsum(counts) - counts, features @ weights
+            for begin, end in _slices(batch.column(1)):
+                part = batch.slice(begin, end - begin)
+                found = emissions([utf8(text) for text in part.column(1)], weights, known)
+                counts = np.array([len(n) for _, n in found])
+                emit = np.concatenate([e for e, _ in found])
+                starts = np.cumsum(counts) - counts
                 good = np.zeros(len(emit))
                 for group in _grouped(counts):
                     padded, where, inside = _padded(emit, starts, counts, group)
-                    good[where[inside]] = marginals(padded, step, counts[group])[1][inside]
-                lengths = np.concatenate([n for _, _, n in found])
+                    good[where[inside]] = line_marginals(padded, step, counts[group])[inside]
+                lengths = np.concatenate([n for _, n in found])
                 total = np.add.reduceat(good * lengths, starts) / np.add.reduceat(lengths, starts)
                 lines = np.split(np.clip(good, 0, 1), starts[1:])
                 yield pa.RecordBatch.from_arrays(

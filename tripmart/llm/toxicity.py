@@ -177,8 +177,8 @@ class Stretches(Measured):
     kept as a key; all is forgotten between slices once it is more than ``KNOWN_BYTES``.
     """
 
-    def __init__(self, describe) -> None:
-        super().__init__(describe, NUMBERS)
+    def __init__(self, describe, width: int = NUMBERS) -> None:
+        super().__init__(describe, width)
         self.held = 0
 
     def __missing__(self, part: bytes) -> int:
