@@ -124,6 +124,27 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "external_tables_pruned",
+    ("fact",),
+    f"""SELECT {day('pickup_date')} AS pickup_date, count(*) AS trips,
+               {dbl('sum(fare_amount)')} AS fares FROM fact
+        WHERE month(pickup_date) = 2 GROUP BY pickup_date""",
+)
+def _(t: Tables) -> DataFrame:
+    """The calendar's filter chooses the date folders of the fact."""
+    base = fresh_folder(t.spark, "catalog")
+    write_zone(fact(t), f"{base}/curated/fact_trip", ("pickup_date",))
+    written = t.spark.read.parquet(f"{base}/curated/fact_trip")
+    write_zone(dimensions.dim_date(written), f"{base}/curated/dim_date")
+    register_catalog(t.spark, base, "pruned_")
+    return t.spark.sql(
+        """SELECT f.pickup_date, count(*) AS trips, sum(f.fare_amount) AS fares
+           FROM pruned_fact_trip f JOIN pruned_dim_date d ON f.pickup_date = d.pickup_date
+           WHERE d.month = 2 GROUP BY f.pickup_date"""
+    )
+
+
 @query(
     "incoming_manifest",
     ("landed",),
