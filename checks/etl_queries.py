@@ -25,7 +25,7 @@ from tripmart.runtime import cut, file_system, fresh_folder
 from tripmart.schemas import TRIP_RENAMES, TRIP_TYPES
 from tripmart.sinks.mirror import mirror_log, mirror_raw
 from tripmart.sinks.snapshots import publish_snapshot
-from tripmart.sinks.writers import append_rejects, land_raw, write_zone
+from tripmart.sinks.writers import append_rejects, gathered, land_raw, write_zone
 from tripmart.sources.landing import drift_profile, incoming_manifest, lake_inventory
 from tripmart.sources.readers import read_optional, read_reference, read_trips, register_catalog
 
@@ -215,8 +215,11 @@ def _(t: Tables) -> DataFrame:
     t.vendors().write.option("header", True).csv(f"{base}/raw/vendors/batch=1")
     for _ in range(2):
         publish_snapshot(t.vendors(), f"{base}/master/dim_vendor_scd2")
-    by_month = fact(t).withColumn("month", F.date_format("pickup_date", "yyyy-MM"))
-    write_zone(by_month, f"{base}/curated/fact_trip", ("month",))
+    # Trips move by month before they get names and ids.
+    month = F.date_format(F.to_date("pickup_datetime"), "yyyy-MM")
+    valid = split_valid(clean(t))[0].withColumn("month", month)
+    by_month = facts.build_fact(gathered(valid, ("month",)), t.zones(), t.vendors())
+    write_zone(by_month, f"{base}/curated/fact_trip", ("month",), gather=False)
     write_zone(t.vendors(), f"{base}/processed/vendors")
     return lake_inventory(t.spark, base).select("zone", "rows", "partitions")
 
