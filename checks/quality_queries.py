@@ -96,6 +96,7 @@ def dirty_results(t: Tables) -> DataFrame:
 def stored_results(t: Tables) -> DataFrame:
     """The results of three runs, appended one after the other."""
     dest = fresh_folder(t.spark, "dq") + "/results"
+    t.park_trips()
     runs = {
         RUN: dirty(t),
         ("20240102T000000", "2024-01-02T00:00:00"): split_valid(dirty(t))[0],

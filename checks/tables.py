@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.runtime import cut
+
 
 class Tables:
     """Lazily derived frames over one folder of parquet tables."""
@@ -16,12 +18,20 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._landed: DataFrame | None = None
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def park_trips(self) -> None:
+        """Join the trips once, for a query that reads them several times."""
+        if self._landed is None:
+            self._landed = cut(self.trips_landed())
+
     def trips_landed(self) -> DataFrame:
         """Clean trips under their landing names."""
+        if self._landed is not None:
+            return self._landed
         p = F.col("l_extendedprice").cast("decimal(12,2)")
         d = F.col("l_discount").cast("decimal(4,2)")
         x = F.col("l_tax").cast("decimal(4,2)")
