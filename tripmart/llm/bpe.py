@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import utf8
 from tripmart.runtime import fresh_folder
 
-BLOCK_WORDS = 3_000_000  # words of a block's documents before the next block begins
+BLOCK_WORDS = 1_500_000  # words of a block's documents before the next block begins
 
 # The tokenizer's pattern between white space, and the characters for which
 # lower case, composition and classes are the same in every library. Other stretches of
