@@ -78,6 +78,35 @@ def test_short_reads(docs, path, spark):
     assert sorted(found) == sorted(k for k in texts if k is not None)
 
 
+def test_shards_are_read_by_pieces(path, spark, monkeypatch):
+    """No file is a value of a row, if Arrow opens the store; both ways give the same rows."""
+    got = tf.read_tokens(spark, path)
+    assert "content:binary" not in got._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tf, "reads_ranges", lambda path: False)
+    whole = tf.read_tokens(spark, path)
+    assert "content:binary" in whole._jdf.queryExecution().executedPlan().toString()
+    by_start = [sorted(map(tuple, df.collect()), key=lambda r: r[1]) for df in (got, whole)]
+    assert by_start[0] == by_start[1] and by_start[0]
+
+
+def test_read_ahead():
+    data, reads = bytes(range(250)), []
+
+    def read(at, n):
+        reads.append((at, n))
+        return data[at : at + n]
+
+    ahead = tf.read_ahead(read, len(data), 100)
+    for at, n in ((0, 10), (240, 10), (10, 30), (40, 70), (110, 120), (230, 0)):
+        assert bytes(ahead(at, n)) == data[at : at + n]
+    assert reads == [(0, 100), (240, 10), (10, 100), (110, 120)]
+
+
+def test_other_stores(tmp_path):
+    assert tf.reads_ranges(f"file:{tmp_path}") and tf.reads_ranges(str(tmp_path))
+    assert not tf.reads_ranges(f"{tmp_path}/none") and not tf.reads_ranges("viewfs://x/y")
+
+
 def test_no_shard():
     with pytest.raises(ValueError, match="not a shard"):
         tf.Shard(lambda at, n: b"\0" * n, 500, {})

@@ -22,6 +22,7 @@ gives the same ids at a quarter of the cost. The tests compare both for every co
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import json
@@ -34,12 +35,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyarrow import fs as store
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import hashed_sample, parked, utf8
 from tripmart.runtime import file_system
+from tripmart.sources.headers import opened
 
 END_ID = 2  # appended to every document
 SHARD_BYTES = 32 << 20  # a shard is closed once its frames are as long
@@ -48,6 +51,8 @@ SAMPLE_CHARS = 8_192
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
 SLICE_BYTES = 8 << 20  # compressed frames of a batch that leaves a task
+READ_BYTES = 1 << 20  # of a shard that are read at once, but for longer frames
+ROW_BYTES = 64  # a row without its tokens, about
 
 MAGIC = b"TOKSHRD1"
 HEADER = struct.Struct("<8s32sI")
@@ -346,6 +351,30 @@ class Shard:
         return [self.ids(int(r)) for r in rows]
 
 
+def read_ahead(
+    read: Callable[[int, int], bytes], size: int, piece: int = READ_BYTES
+) -> Callable[[int, int], memoryview]:
+    """``read`` of a file by pieces: frames one after the other need few reads."""
+    begin, held = 0, memoryview(b"")
+
+    def ahead(at: int, n: int) -> memoryview:
+        nonlocal begin, held
+        if not begin <= at <= at + n <= begin + len(held):
+            begin, held = at, memoryview(read(at, min(max(n, piece), size - at)))
+        return held[at - begin : at - begin + n]
+
+    return ahead
+
+
+def reads_ranges(path: str) -> bool:
+    """Whether Arrow opens the store of a folder, so that tasks need not get whole files."""
+    try:
+        files, folder = opened(path)
+        return files.get_file_info(folder).type == store.FileType.Directory
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
     """The dictionary, at most ``DICTIONARY_BYTES``, without the writer's line feed."""
     (file,) = spark.read.format("binaryFile").load(f"{path}/dictionary").select("content").collect()
@@ -371,6 +400,8 @@ def read_tokens(
 
     ``start`` counts the ids of all documents before, ``ids_crc32`` is taken over the ids
     as little-endian unsigned 32-bit integers, as ``tokens`` (left out on demand) holds them.
+    A task reads its shards by pieces of ``READ_BYTES``; where Arrow does not know the store,
+    Spark hands it one whole shard after the other.
     """
     schema = f"shard string, _id {id_type}, _before bigint, n_tokens bigint, ids_crc32 bigint"
     schema += ", tokens binary" if tokens else ""
@@ -383,34 +414,49 @@ def read_tokens(
         )
     dictionary = read_dictionary(spark, path)
     known = {hashlib.sha256(dictionary).digest(): dictionary}
+    ranges = reads_ranges(f"{path}/files/kind=shards")
+
+    @contextlib.contextmanager
+    def shard_of(file: pa.Scalar) -> Iterator[Shard]:
+        if not ranges:
+            data = memoryview(file.as_buffer())
+            yield Shard(lambda at, n: data[at : at + n], len(data), known)
+            return
+        files, name = opened(file.as_py())
+        with files.open_input_file(name) as source:
+            size = source.size()
+            yield Shard(read_ahead(lambda at, n: source.read_at(n, at), size), size, known)
+
+    def rows_of(name: str, shard: Shard) -> Iterator[pa.RecordBatch]:
+        keys, before, begin, held = shard.index["id"].combine_chunks(), 0, 0, []
+        size = 0
+        for row in range(shard.documents):
+            ids = shard.ids(row).astype("<u4").tobytes()
+            held.append((before, len(ids) // 4, zlib.crc32(ids), ids if tokens else b""))
+            before += len(ids) // 4
+            size += ROW_BYTES + len(held[-1][3])
+            if size >= SLICE_BYTES or row + 1 == shard.documents:
+                columns = list(zip(*held))
+                n = len(held)
+                arrays = [
+                    pa.array([name] * n),
+                    keys.slice(begin, n),
+                    *[pa.array(c, pa.int64()) for c in columns[:3]],
+                    *([pa.array(columns[3], pa.binary())] if tokens else []),
+                ]
+                names = ["shard", "_id", "_before", "n_tokens", "ids_crc32", "tokens"]
+                yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
+                begin, held, size = row + 1, [], 0
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = memoryview(content.as_buffer())
-                shard = Shard(lambda at, n, d=data: d[at : at + n], len(data), known)
-                keys, before, begin, held = shard.index["id"].combine_chunks(), 0, 0, []
-                size = 0
-                for row in range(shard.documents):
-                    ids = shard.ids(row).astype("<u4").tobytes()
-                    held.append((before, len(ids) // 4, zlib.crc32(ids), ids if tokens else b""))
-                    before += len(ids) // 4
-                    size += len(held[-1][3])
-                    if size >= SLICE_BYTES or row + 1 == shard.documents:
-                        columns = list(zip(*held))
-                        n = len(held)
-                        arrays = [
-                            pa.array([name] * n),
-                            keys.slice(begin, n),
-                            *[pa.array(c, pa.int64()) for c in columns[:3]],
-                            *([pa.array(columns[3], pa.binary())] if tokens else []),
-                        ]
-                        names = ["shard", "_id", "_before", "n_tokens", "ids_crc32", "tokens"]
-                        yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
-                        begin, held, size = row + 1, [], 0
+            for name, file in zip(batch.column(0).to_pylist(), batch.column(1)):
+                with shard_of(file) as shard:
+                    yield from rows_of(name, shard)
 
     files = spark.read.format("binaryFile").load(f"{path}/files/kind=shards")
-    rows = files.select(F.col("shard").cast("string"), "content").mapInArrow(unpack, schema)
+    file = "path" if ranges else "content"
+    rows = files.select(F.col("shard").cast("string"), file).mapInArrow(unpack, schema)
     manifest = read_manifest(spark, path).select("shard", "start")
     return rows.join(manifest, "shard").select(
         F.col("_id").alias(id_col),
