@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmart import schemas
-from tripmart.operators.chained_merges import merge_in_order
+from tripmart.operators.chained_merges import _aimed, merge_in_order
 from tripmart.schemas import VENDORS
 
 from .test_matching import brute_score
@@ -112,3 +112,17 @@ def test_nothing_to_do(spark):
     )
     with pytest.raises(ValueError):
         merge_in_order(numbers, spark.createDataFrame([], ORDERS), VENDORS, "at")
+
+
+def test_nothing_grows_in_one_task(spark):
+    """No table is broadcast for its small files, and states that lead nowhere spread."""
+    rows = [{**r, "vendor_pk": i} for i, r in enumerate(records(random.Random(1), 40))]
+    master = spark.createDataFrame(rows, MASTER)
+    orders = spark.createDataFrame([(i, i, [i + 1]) for i in range(0, 40, 4)], ORDERS)
+    for df in merge_in_order(master, orders, VENDORS, "at", NOW):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    ends = spark.range(50).selectExpr("id AS rec", "0L AS k", "NULL::bigint AS to_rec", "NULL::bigint AS to_k")
+    aimed = _aimed(ends)
+    assert aimed.select("_at_rec", "_at_k").distinct().count() == 50
+    assert aimed.filter("_at_k >= 0").isEmpty()

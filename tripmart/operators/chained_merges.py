@@ -22,7 +22,7 @@ from tripmart.functions.text import normalize
 from tripmart.operators.matching import match_pairs
 from tripmart.operators.numbering import number_in_groups, number_rows
 from tripmart.operators.survivorship import source_trust
-from tripmart.runtime import cut
+from tripmart.runtime import by_shuffle, cut
 from tripmart.schemas import Domain
 
 NODE = ("rec", "k")  # a record and the number of instructions it has survived
@@ -48,7 +48,7 @@ def ordered_instructions(
     present = master.select(F.col(domain.id_col).alias("survivor_id"), F.lit(True).alias("_present"))
     first = cut(
         numbered.select("seq", "survivor_id", complete.alias("_complete"))
-        .join(present, "survivor_id", "left")
+        .join(by_shuffle(present), "survivor_id", "left")
         .select(
             "seq",
             "survivor_id",
@@ -57,18 +57,20 @@ def ordered_instructions(
             .alias("refused"),
         )
     )
-    uses = cut(_uses(numbered).join(first.filter("refused IS NULL").select("seq"), "seq", "left_semi"))
+    open_ones = by_shuffle(first.filter("refused IS NULL").select("seq"))
+    uses = cut(_uses(numbered).join(open_ones, "seq", "left_semi"))
     # NULL while undecided.
     state = first.withColumn("holds", F.when(F.col("refused").isNotNull(), False))
     taken = uses.select("rec").distinct()
+    at_risk = taken.select(F.col("rec").alias("survivor_id"), F.lit(True).alias("_at_risk"))
     state = cut(
-        state.join(taken.select(F.col("rec").alias("survivor_id"), F.lit(True).alias("_at_risk")), "survivor_id", "left")
+        state.join(by_shuffle(at_risk), "survivor_id", "left")
         .withColumn("holds", F.when(F.col("_at_risk").isNull() & F.col("refused").isNull(), True).otherwise(F.col("holds")))
         .drop("_at_risk")
     )
     while not state.filter("holds IS NULL").isEmpty():
         ends = (
-            uses.join(state.select("seq", "holds"), "seq")
+            uses.join(by_shuffle(state.select("seq", "holds")), "seq")
             .groupBy(F.col("rec").alias("survivor_id"))
             .agg(
                 F.min(F.when(F.coalesce("holds", F.lit(True)), F.col("seq"))).alias("_may"),
@@ -80,7 +82,7 @@ def ordered_instructions(
             .when(F.col("_may").isNull() | (F.col("seq") < F.col("_may")), True)
         )
         state = cut(
-            state.join(ends, "survivor_id", "left")
+            state.join(by_shuffle(ends), "survivor_id", "left")
             .withColumn("holds", F.coalesce("holds", decided))
             .drop("_may", "_does")
         )
@@ -88,7 +90,7 @@ def ordered_instructions(
         "seq",
         F.coalesce("refused", F.when(~F.col("holds"), "survivor not found")).alias("refused"),
     )
-    return numbered.join(reasons, "seq")
+    return numbered.join(by_shuffle(reasons), "seq")
 
 
 def _uses(numbered: DataFrame) -> DataFrame:
@@ -127,15 +129,15 @@ def merge_in_order(
     there = master.select(F.col(domain.id_col).cast("bigint").alias("rec"))
     gone = cut(
         _uses(ordered.filter("refused IS NULL"))
-        .join(there, "rec", "left_semi")
+        .join(by_shuffle(there), "rec", "left_semi")
         .groupBy("rec")
         .agg(F.min("seq").alias("seq"))
     )
     last = turns.groupBy("rec").agg(F.max("k").alias("k"))
     leads = turns.select("rec", (F.col("k") - 1).alias("k"), F.col("rec").alias("to_rec"), F.col("k").alias("to_k"))
     ends = (
-        gone.join(last, "rec", "left")
-        .join(_at(turns.select("rec", "k", "seq"), "to_rec", "to_k"), "seq")
+        gone.join(by_shuffle(last), "rec", "left")
+        .join(by_shuffle(_at(turns.select("rec", "k", "seq"), "to_rec", "to_k")), "seq")
         .select("rec", F.coalesce("k", F.lit(0)).alias("k"), "to_rec", "to_k")
     )
     leads = cut(leads.unionByName(ends))
@@ -146,6 +148,17 @@ def merge_in_order(
     return _merged(master, domain, last, gone, values, now), audit
 
 
+def _aimed(nodes: DataFrame) -> DataFrame:
+    """The states with ``_at_rec`` and ``_at_k``, the state that each leads into.
+
+    One that leads nowhere has a key of its own that no state has: NULL would be one key
+    of all of them, and so of one task.
+    """
+    return nodes.withColumn("_at_rec", F.coalesce("to_rec", "rec")).withColumn(
+        "_at_k", F.coalesce("to_k", F.lit(-1).cast("bigint"))
+    )
+
+
 def _filled(master: DataFrame, domain: Domain, turns: DataFrame, leads: DataFrame) -> DataFrame:
     """Every state with ``bits``, the attributes that have a value in a record below it."""
     bits = reduce(
@@ -158,21 +171,21 @@ def _filled(master: DataFrame, domain: Domain, turns: DataFrame, leads: DataFram
     involved = leads.select("rec").distinct()
     before = (
         master.select(F.col(domain.id_col).cast("bigint").alias("rec"), bits.alias("bits"))
-        .join(involved, "rec", "left_semi")
+        .join(by_shuffle(involved), "rec", "left_semi")
         .select("rec", F.lit(0).cast("bigint").alias("k"), "bits")
     )
     after = turns.select("rec", F.col("k").cast("bigint"), F.lit(0).cast("bigint").alias("bits"))
-    nodes = cut(before.unionByName(after).join(leads, [*NODE], "left"))
+    nodes = cut(before.unionByName(after).join(by_shuffle(leads), [*NODE], "left"))
     while not nodes.filter("to_rec IS NOT NULL").isEmpty():
         from_below = (
             nodes.filter("to_rec IS NOT NULL")
             .groupBy(F.col("to_rec").alias("rec"), F.col("to_k").alias("k"))
             .agg(F.bit_or("bits").alias("_below"))
         )
-        jump = _at(nodes.select(*NODE, F.col("to_rec").alias("_rec"), F.col("to_k").alias("_k")), "to_rec", "to_k")
+        jump = _at(nodes.select(*NODE, F.col("to_rec").alias("_rec"), F.col("to_k").alias("_k")), "_at_rec", "_at_k")
         nodes = cut(
-            nodes.join(from_below, [*NODE], "left")
-            .join(jump.filter("_rec IS NOT NULL"), ["to_rec", "to_k"], "left")
+            _aimed(nodes.join(by_shuffle(from_below), [*NODE], "left"))
+            .join(by_shuffle(jump.filter("_rec IS NOT NULL")), ["_at_rec", "_at_k"], "left")
             .select(
                 *NODE,
                 F.col("bits").bitwiseOR(F.coalesce("_below", F.lit(0))).alias("bits"),
@@ -205,7 +218,8 @@ def _origins(
         F.when(F.col("k") == 0, F.col("own")).otherwise(F.col("touched")).alias("updated"),
         (-F.col("rec")).alias("age"),
     )
-    children = nodes.join(leads, [*NODE]).join(ranked, "rec").withColumn("_standing", standing)
+    joined = nodes.join(by_shuffle(leads), [*NODE]).join(by_shuffle(ranked), "rec")
+    children = joined.withColumn("_standing", standing)
     attrs = range(len(domain.attrs))
     best = children.groupBy("to_rec", "to_k").agg(
         *[
@@ -231,7 +245,7 @@ def _origins(
             "from_k",
         )
         found = cut(
-            found.join(next_one, ["from_rec", "from_k", "attr"], "left").select(
+            found.join(by_shuffle(next_one), ["from_rec", "from_k", "attr"], "left").select(
                 *NODE,
                 "attr",
                 F.coalesce("_rec", "from_rec").alias("from_rec"),
@@ -250,24 +264,25 @@ def _values(winners: DataFrame, nodes: DataFrame, master: DataFrame, domain: Dom
         F.posexplode(F.array(*attrs)).alias("attr", "value"),
     )
     pivoted = (
-        winners.join(cells, ["from_rec", "attr"])
+        winners.join(by_shuffle(cells), ["from_rec", "attr"])
         .groupBy(*NODE)
         .agg(*[F.max(F.when(F.col("attr") == i, F.col("value"))).alias(a) for i, a in enumerate(attrs)])
     )
-    first = nodes.filter("k = 0").join(master.select(key.alias("rec"), *attrs), "rec")
-    later = nodes.filter("k > 0").select(*NODE).join(pivoted, [*NODE], "left")
+    first = nodes.filter("k = 0").join(by_shuffle(master.select(key.alias("rec"), *attrs)), "rec")
+    later = nodes.filter("k > 0").select(*NODE).join(by_shuffle(pivoted), [*NODE], "left")
     return first.select(*NODE, *attrs).unionByName(later.select(*NODE, *attrs))
 
 
 def _merged(master, domain, last, gone, values, now) -> DataFrame:
-    new = values.join(last, [*NODE], "left_semi").select(
+    new = values.join(by_shuffle(last), [*NODE], "left_semi").select(
         F.col("rec").alias("_rec"),
         *[F.col(a).alias(f"_new_{a}") for a in domain.attrs],
         F.lit(True).alias("_merged"),
     )
     key = F.col(domain.id_col).cast("bigint")
-    kept = master.join(gone.select(F.col("rec").alias("_rec")), key == F.col("_rec"), "left_anti").join(
-        new, key == F.col("_rec"), "left"
+    away = by_shuffle(gone.select(F.col("rec").alias("_rec")))
+    kept = master.join(away, key == F.col("_rec"), "left_anti").join(
+        by_shuffle(new), key == F.col("_rec"), "left"
     )
     changed = {a: F.col(f"_new_{a}") for a in domain.attrs}
     if now is not None and "updated_at" in master.columns:
@@ -284,16 +299,16 @@ def _audit(ordered, turns, leads, values, domain: Domain) -> DataFrame:
     """Best score of an instruction's duplicates against its survivor, at its turn."""
     names = values.select(*NODE, normalize(F.col(domain.match_col)).alias("b"))
     after = _at(turns.select("rec", "k", "seq"), "to_rec", "to_k")
-    named = leads.join(names, [*NODE]).join(after, ["to_rec", "to_k"])
+    named = leads.join(by_shuffle(names), [*NODE]).join(by_shuffle(after), ["to_rec", "to_k"])
     survivor = named.filter("rec = to_rec").select("seq", F.col("b").alias("a"))
     others = named.filter("rec <> to_rec").select("seq", F.col("rec").alias("_id"), "b")
-    scored = match_pairs(others.join(survivor, "seq")).filter("match_score > 0")
+    scored = match_pairs(others.join(by_shuffle(survivor), "seq")).filter("match_score > 0")
     best = scored.groupBy("seq").agg(
         F.max_by(
             F.struct("match_score", "reason"), F.struct(F.col("match_score"), -F.col("_id"))
         ).alias("_best")
     )
-    return ordered.join(best, "seq", "left").select(
+    return ordered.join(by_shuffle(best), "seq", "left").select(
         "seq",
         "survivor_id",
         "duplicate_ids",

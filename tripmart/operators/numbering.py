@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripmart.runtime import cut
+from tripmart.runtime import by_shuffle, cut
 
 
 def ranged_rows(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -71,7 +71,7 @@ def number_in_groups(
         condition = condition & key
     return (
         ranged.alias("r")
-        .join(pieces.alias("p"), condition)
+        .join(by_shuffle(pieces).alias("p"), condition)
         .select(
             *[F.col(f"r.{c}") for c in df.columns],
             (F.col("p._offset") + F.col("r._pos") - F.col("p._first") + 1).alias(name),

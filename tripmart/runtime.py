@@ -44,6 +44,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that both sides are shuffled for.
+
+    For a table of many short rows that was parked: Spark goes by the compressed size
+    of its files and would broadcast millions of rows to every task.
+    """
+    return df.hint("merge")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
