@@ -92,6 +92,18 @@ def test_nothing_is_lost_or_repeated(spark, tmp_path):
     assert rows(spark, tmp_path) == WANT
 
 
+def test_a_batch_is_one_file_of_the_log(spark, tmp_path):
+    """However many files it lands: all later batches read the log."""
+    put(tmp_path, "t/0.csv", "a,b\n0,0\n")
+    run(spark, tmp_path, files=20)
+    for i in range(1, 9):
+        put(tmp_path, f"t/{i}.csv", f"a,b\n{i},{i}\n")
+    run(spark, tmp_path, files=20)
+    log = tmp_path / "raw/_landed/t"
+    assert spark.read.parquet(str(log)).count() == 9
+    assert len(list(log.glob("part-*"))) == 2
+
+
 def test_first_lines(tmp_path):
     for text, line in {"": "", "a": "a", "a,b\r\n1": "a,b", "x" * 70_000 + "\ny": "x" * 70_000}.items():
         (tmp_path / "f").write_bytes(text.encode())
