@@ -53,6 +53,27 @@ def test_drop_exact_copies(docs, no_docs):
     assert exact_dedup.exact_groups(no_docs).collect() == []
 
 
+def test_digests_make_little_garbage(spark):
+    line = "if(id < 0, '', 'some words\\n')"  # else Spark computes it once, before the job
+    texts = spark.range(0, 200, 1, 2).selectExpr("id", f"repeat({line}, 4000) AS text")
+    beans = spark._jvm.java.lang.management.ManagementFactory.getThreadMXBean()
+
+    def allocated():  # by the threads that run tasks, and all others
+        ids = beans.getAllThreadIds()
+        return {i: n for i, n in zip(ids, beans.getThreadAllocatedBytes(ids))}
+
+    def work():
+        digests = exact_dedup._digests(texts, "id", "text")
+        return digests.agg({"_sha": "max", "_len": "sum"}).collect()[0]
+
+    want = hashlib.sha256(b"somewords" * 4000).hexdigest()
+    assert set(work()) == {want, 200 * 44_000}
+    before = allocated()
+    work()
+    made = sum(max(n - before.get(i, 0), 0) for i, n in allocated().items())
+    assert made < 16 * 200 * 44_000
+
+
 def family_rows():
     """Groups of near copies around the threshold, some only linked through others."""
     rng, rows = random.Random(8), []
