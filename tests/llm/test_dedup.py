@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 
 from tripmart.llm import embedding_dedup, exact_dedup, near_dedup
+from tripmart.llm.common import parked
 from tripmart.llm.graph import components
 
 from .conftest import words
@@ -74,6 +75,18 @@ def test_digests_make_little_garbage(spark):
     assert made < 16 * 200 * 44_000
 
 
+def test_only_suspects_meet_the_copies_and_texts_are_hashed_once_a_read(spark):
+    rows = [(i, f"text {i % 90}") for i in range(100)] + [(5, "text 5")]
+    docs = parked(spark.createDataFrame(rows, "doc_id long, text string"), "docs")
+    left = exact_dedup.drop_exact_copies(docs)
+    assert {r.doc_id for r in left.collect()} == set(range(90)) and left.count() == 90
+    plan = left._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not any("LeftAnti" in line or "LeftSemi" in line for line in plan)
+    # One read for the cleared rows, two for the suspects: those that stay, and those
+    # that are repeated.
+    assert sum(line.count("sha2(") for line in plan) == 3
+
+
 def family_rows():
     """Groups of near copies around the threshold, some only linked through others."""
     rng, rows = random.Random(8), []

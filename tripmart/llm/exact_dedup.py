@@ -40,9 +40,11 @@ def _bare(text: Column) -> Column:
 def _digests(docs: DataFrame, id_col: str, text_col: str, *rest: str) -> DataFrame:
     """Id, digest of the normalised text and length of every row, then other columns."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    # Never null, and seen to be: else a join on it hashes every text once more to see.
+    sha = F.coalesce(F.sha2(_bare(text), 256), F.lit(""))
     return docs.select(
         F.col(id_col).alias("_id"),
-        F.sha2(_bare(text), 256).alias("_sha"),
+        sha.alias("_sha"),
         F.length(text).alias("_len"),
         *rest,
     )
@@ -53,8 +55,10 @@ def _with_bits(digests: DataFrame, segments: int) -> DataFrame:
     h = F.xxhash64("_sha")
     first = F.shiftrightunsigned(h, 16).bitwiseAND(F.lit(SEGMENT - 1)).cast("int")
     step = F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(SEGMENT - 2)).cast("int") + 1
+    seg = F.pmod(F.shiftrightunsigned(h, 48), segments).cast("int")
     return (
-        digests.withColumn("_seg", F.pmod(F.shiftrightunsigned(h, 48), segments).cast("int"))
+        # Seen to be never null, as the digest.
+        digests.withColumn("_seg", F.coalesce(seg, F.lit(0)))
         .withColumn("_p", first)
         .withColumn("_q", (first + step).bitwiseAND(F.lit(SEGMENT - 1)))
     )
@@ -224,21 +228,26 @@ def drop_exact_copies(
     every = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     marked = _probe(_digests(docs, id_col, text_col, every), filters, segments)
 
-    def named(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    def named(left: DataFrame, right: DataFrame) -> DataFrame:
+        """``left`` with ``_named``: true where ``right``, distinct, lists the row, else null."""
         match = (
             F.col("l._id").eqNullSafe(F.col("r._id"))
             & (F.col("l._sha") == F.col("r._sha"))
             & (F.col("l._len") == F.col("r._len"))
         )
-        return left.alias("l").join(right.alias("r"), match, how).select("l.*")
+        listed = right.withColumn("_named", F.lit(True)).alias("r")
+        return left.alias("l").join(listed, match, "left").select("l.*", "r._named")
 
-    left = named(marked.where("_suspect"), gone, "left_anti")
+    # Not anti joins: Spark moves those below the probe, and shuffles every row with its text.
+    left = named(marked.where("_suspect"), gone).where("_named is null").drop("_named")
     parts = [marked.where("not _suspect")]
     if again.isEmpty():
         parts.append(left)
     else:
-        parts.append(named(left, again, "left_anti"))
-        parts.append(named(left, again, "left_semi").dropDuplicates(["_id", "_sha", "_len"]))
+        left = named(left, again)
+        parts.append(left.where("_named is null").drop("_named"))
+        repeated = left.where("_named").drop("_named")
+        parts.append(repeated.dropDuplicates(["_id", "_sha", "_len"]))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
