@@ -116,6 +116,14 @@ def any_case(extension: str) -> str:
     return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
 
 
+def names_of(kind: str) -> str:
+    """A glob for the files of a kind: any delivered ones, and parts that a batch has landed.
+
+    Landed text is compressed; other compressed files are of no kind.
+    """
+    return any_case(kind) if kind == "parquet" else f"{{{any_case(kind)},part-*.{kind}.gz}}"
+
+
 def counted(
     df: DataFrame, name: str, which: Column | None = None
 ) -> tuple[DataFrame, Observation]:

@@ -93,6 +93,13 @@ def _landing_log(spark: SparkSession, base: str, source: str) -> DataFrame:
     return spark.read.schema(schema).parquet(log)
 
 
+def _compression(kind: str) -> dict[str, str]:
+    """Options of a landed kind; landed text is large and repeats itself much."""
+    if kind == "parquet":
+        return {"compression": "zstd"}
+    return {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 def land_raw(spark: SparkSession, base: str, source: str, batch_id: str) -> int:
     """Copy the new valid files of one source into ``raw/<source>/batch=<id>``."""
     if not _landing_log(spark, base, source).filter(F.col("batch") == batch_id).isEmpty():
@@ -107,7 +114,7 @@ def land_files(
 
     New are files that no earlier batch has landed in the same length and time. Each
     kind of file has a folder; columns are matched by name, and ``_landed_from`` says
-    below ``incoming`` which file a row is from. A batch that is landed again is
+    below ``incoming`` which file a row is from. Csv and json are landed as gzip. A batch that is landed again is
     left as it is, one that broke off is written anew. Returns the rows landed.
     """
     log = _landing_log(spark, base, source)
@@ -139,10 +146,8 @@ def land_files(
                 *chosen if kind == "parquet" else [chosen]
             ).withColumn("_landed_from", F.col("_metadata.file_path"))
         rows, seen = counted(rows.withColumn("_landed_from", inside), kind)
-        writer = rows.write.mode("overwrite").option("header", True).format(kind)
-        if kind == "parquet":
-            writer = writer.option("compression", "zstd")
-        writer.save(f"{target}/{kind}")
+        writer = rows.write.mode("overwrite").option("header", True).options(**_compression(kind))
+        writer.format(kind).save(f"{target}/{kind}")
         landed += rows_seen(seen)
     if paths:
         # One file a batch: every later batch opens all files of the log.

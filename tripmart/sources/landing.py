@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.runtime import any_case, file_system
+from tripmart.runtime import file_system, names_of
 from tripmart.sinks.snapshots import snapshot_folders
 
 
@@ -134,7 +134,7 @@ def _rows_by_zone(spark: SparkSession, base: str) -> DataFrame:
     kinds = []
     for kind in schemas.LANDING_EXTENSIONS:
         reader = spark.read.option("recursiveFileLookup", True).option(
-            "pathGlobFilter", any_case(kind)
+            "pathGlobFilter", names_of(kind)
         )
         if kind == "parquet":
             rows = reader.schema("_none string").parquet(base)
@@ -156,9 +156,11 @@ def lake_inventory(spark: SparkSession, base: str) -> DataFrame:
     Parquet, csv and json files count, of snapshots only the current version.
     """
     relative = _below(F.col("path"), base)
+    # Landed text is compressed, see ``names_of``.
+    plain = F.regexp_replace("path", r"(/part-[^/]*\.(?:csv|json))\.gz$", "$1")
     listing = (
         _file_listing(spark, base)
-        .filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(*schemas.LANDING_EXTENSIONS))
+        .filter(F.lower(F.regexp_extract(plain, r"\.([^./]+)$", 1)).isin(*schemas.LANDING_EXTENSIONS))
         .withColumn("relative", relative)
         .filter(_live(spark, base, F.col("relative")))
         # The folder of a version is no partition.

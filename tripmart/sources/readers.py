@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tripmart import schemas
-from tripmart.runtime import any_case, file_system
+from tripmart.runtime import any_case, file_system, names_of
 from tripmart.sinks.snapshots import read_snapshot, snapshot_exists
 from tripmart.sources.headers import csv_by_name, files_by_header
 
@@ -18,7 +18,9 @@ def _has_files(spark: SparkSession, path: str, extension: str) -> bool:
         return False
     files = fs.listFiles(hadoop_path, True)
     while files.hasNext():
-        if files.next().getPath().getName().lower().endswith("." + extension):
+        name = files.next().getPath().getName()
+        landed = name.startswith("part-") and name.endswith(f".{extension}.gz")
+        if name.lower().endswith("." + extension) or (landed and extension != "parquet"):
             return True
     return False
 
@@ -30,13 +32,13 @@ def _csv_with_header(
     reader = (
         spark.read.option("header", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", any_case("csv"))
+        .option("pathGlobFilter", names_of("csv"))
     )
     if schema is None:
         listing = (
             spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", any_case("csv"))
+            .option("pathGlobFilter", names_of("csv"))
             .load(path)
         )
         groups = files_by_header(listing.select("path"))
@@ -51,6 +53,8 @@ def read_trips(
 ) -> DataFrame:
     """Landed trips: parquet, csv and json files below ``path``, told apart by extension.
 
+    Csv and json as a batch has landed them (parts in gzip) are read as well.
+
     Csv and json columns stay text unless a schema is given: they are cast
     afterwards, so a bad value becomes NULL in one column instead of spoiling its
     row. Where kinds lie side by side they are united by column name; columns that
@@ -69,7 +73,7 @@ def read_trips(
     if _has_files(spark, path, "json"):
         kinds.append(
             spark.read.option("recursiveFileLookup", True)
-            .option("pathGlobFilter", any_case("json"))
+            .option("pathGlobFilter", names_of("json"))
             .option("primitivesAsString", True)
             .json(path)
         )
